@@ -60,7 +60,7 @@ def _repeat_words(words: Column) -> Column:
 
     def places(s: Column) -> Column:
         same = lambda e, i: F.coalesce(F.get(s, i - 1)["h"] == e["h"], F.lit(False)) | F.coalesce(F.get(s, i + 1)["h"] == e["h"], F.lit(False))
-        return F.array_sort(F.transform(F.filter(s, same), lambda e: e["p"]))
+        return F.sort_array(F.transform(F.filter(s, same), lambda e: e["p"]))
 
     start = F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last"))
     covered = lambda a, p: F.struct((a["n"] + F.least(F.lit(3), p - a["last"])).alias("n"), p.alias("last"))
