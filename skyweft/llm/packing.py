@@ -15,6 +15,7 @@ an empty table gives an empty result. Only id and text are read, so other column
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -27,31 +28,57 @@ from .shared import ids_and_text, materialize
 from .tokenizing import load_tokenizer, once
 
 CAPACITY, END_ID, SALTS = 4096, 1, 64
-#: Words whose ids a worker keeps, and pieces an Arrow batch returns at most.
-CACHED_WORDS, BATCH = 300_000, 2048
+#: Units whose ids a worker keeps (in each of two generations), and pieces an Arrow batch returns at most.
+CACHED_UNITS, BATCH = 400_000, 2048
+
+
+#: What the tokenizer's split pattern makes of lower-case Latin-1 text (letters, digits, white space as Unicode has them).
+LATIN_UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\t-\\r \\x85\\xa00-9²³¹¼½¾a-zªµºß-öø-ÿ]+")
 
 
 class WordIds:
-    """Token ids of whole texts by a tokenizer that never joins text over white space (it drops white space): a text's ids are its words'
-    ids, and most words recur. Words are cut at ASCII white space only; what else a tokenizer may split at lies inside a word."""
+    """Token ids of whole texts by a tokenizer that lower-cases, drops white space and never joins text over what its split pattern separates: a
+    text's ids are its units' ids, and most units recur, so a worker keeps the ids of those it has met.
+
+    A Latin-1 text (which no normal form changes) is split into the pattern's own units; any other text, and one with a special string in it, at
+    ASCII white space only, and what else the tokenizer may split at lies inside such a word."""
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _units(self, text: str) -> tuple[bool, list[str]]:
+        if (text.isascii() or max(text) <= "ÿ") and not any(x in text for x in self.special):
+            return True, LATIN_UNITS.findall(text.lower())
+        return False, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+    def _learn(self, units: list[str], alone: bool) -> None:
+        """alone: each is one unit of the split pattern, so that many can be encoded as one text."""
+        for at in range(0, len(units), 4096):
+            part = units[at : at + 4096]
+            if alone:
+                made = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+                ids, words = np.array(made.ids, "<u4").tobytes(), np.array(made.word_ids)
+                ends = np.searchsorted(words, np.arange(len(part) + 1))
+                if len(words) and words[-1] == len(part) - 1 and (np.diff(ends) > 0).all():
+                    self.known.update((u, ids[4 * a : 4 * b]) for u, a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist()))
+                    continue
+            self.known.update((u, np.array(e.ids, "<u4").tobytes()) for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        missing = list({w for ws in words for w in ws if w not in self.known})
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known.clear()
-            missing = list({w for ws in words for w in ws})
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+        split = [self._units(t) for t in texts]
+        if len(self.known) > CACHED_UNITS:
+            self.known, self.before = {}, self.known
+        for alone in (True, False):
+            missing = set().union(*(u for a, u in split if a == alone)).difference(self.known)
+            again = missing & self.before.keys()
+            self.known.update((u, self.before[u]) for u in again)
+            self._learn(list(missing - again), alone)
         get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in words]
+        return [b"".join(map(get, u)) for _, u in split]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
