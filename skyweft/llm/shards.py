@@ -134,6 +134,9 @@ class ShardStore:
         return [v for _, v in sorted(tiers.items()) if len(v) >= self.fanout]
 
     def merge(self, run: list[Shard]) -> int:
+        """Rewrites a run as target-sized files; Conflict if the last version doesn't list all of it any more."""
+        if {s.path for s in run} - {s.path for s in self.shards()}:
+            raise Conflict(self.versions()[-1])
         folder = f"{self.root}/shards/{uuid.uuid4().hex}"
         files = max(1, round(sum(s.bytes for s in run) / self.target_bytes))
         rows = self.spark.read.schema(self.schema).parquet(*(s.path for s in run))
