@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from .shared import ids_and_text, materialize
 from .tokenizing import load_tokenizer
 
-CHUNK, OVERLAP, WIDEN, LIMIT = 24_576, 256, 4, 1024
+CHUNK, OVERLAP, WIDEN, LIMIT = 65_536, 256, 4, 1024
 #: Code points past the end of a match that the pre-token pattern may have looked at ('re, 've, 'll reach two further than the apostrophe).
 LOOKAHEAD = 3
 BATCH = 64
@@ -45,19 +46,12 @@ def stretches(text: str, tokenizer) -> tuple[int, list[tuple[int, int]]]:
     return n, [x for x in out if x[1] > x[0]]
 
 
-def boundaries(text: str, tokenizer) -> tuple[list[int], list[int]]:
-    """(pre-token ends in code points, tokens up to each) of one chunk."""
-    ends = [end for _, (_, end) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-    counts, total, seen = [0] * len(ends), 0, 0
-    for word in tokenizer.encode(text, add_special_tokens=False).word_ids:
-        while seen < word:
-            counts[seen] = total
-            seen += 1
-        total += 1
-    while seen < len(ends):
-        counts[seen] = total
-        seen += 1
-    return ends, counts
+def boundaries(text: str, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+    """(pre-token ends in code points, tokens up to each) of one chunk, from the offsets of its tokens."""
+    made = tokenizer.encode(text, add_special_tokens=False)
+    words = np.array(made.word_ids, np.int64)
+    last = np.flatnonzero(np.append(words[1:] != words[:-1], True)) if len(words) else words
+    return np.array(made.offsets, np.int64).reshape(-1, 2)[last, 1], last + 1
 
 
 def cuts(length: int, chunk: int, overlap: int) -> list[tuple[int, int]]:
@@ -69,14 +63,10 @@ def zones(body: str, a: int, b: int, whole: int, chunk: int, overlap: int, token
     """Of the chunk body = stretch[a:b], whose stretch has `whole` code points: (tokens, boundaries a left neighbour may share and the tokens
     up to each, proven boundaries a right neighbour may share and the tokens up to each). The stretch's own end needs no proof."""
     ends, counts = boundaries(body, tokenizer)
-    head, tail = [], []
-    for e, n in zip(ends, counts):
-        e += a
-        if e <= a + overlap or e == whole:
-            head.append((e, n))
-        if e > a + chunk and (e <= b - LOOKAHEAD or e == whole):
-            tail.append((e, n))
-    return (counts[-1] if counts else 0, *(list(x) for pair in ((zip(*head) if head else ((), ())), (zip(*tail) if tail else ((), ()))) for x in pair))
+    total, ends = int(counts[-1]) if len(counts) else 0, ends + a
+    head = (ends <= a + overlap) | (ends == whole)
+    tail = (ends > a + chunk) & ((ends <= b - LOOKAHEAD) | (ends == whole))
+    return total, *(x[zone].tolist() for zone in (head, tail) for x in (ends, counts))
 
 
 def splice(head: tuple[list[int], list[int]], tail: tuple[list[int], list[int]]) -> tuple[int, int] | None:
