@@ -32,8 +32,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text's number of ids, an order-sensitive digest of them, and the length of what they decode to."""
-    model = tokenizer_path("piece_bpe_32k.model")
-    return sentence_pieces.digests(sentence_pieces.encode(_table(spark, sf_dir, "documents"), model), model)
+    return sentence_pieces.digests(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

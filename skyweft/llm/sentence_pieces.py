@@ -394,26 +394,41 @@ def to_bytes(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
-def digests(encoded: DataFrame, model: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sum, decoded_chars): per text, its number of ids, sum((i + 1) * id) over its ids modulo 2**61 - 1 with i from 0, and the code points
-    of the decoded text. Parts of a giant text are summed with the ids before them."""
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    prime = (1 << 61) - 1
+_PRIME = (1 << 61) - 1
+_SUMS = ("n", "sums", "plain", "chars")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _sums(ids: list[int], text: str) -> tuple[int, int, int, int]:
+    """(number of ids, sum of (i + 1) * id modulo _PRIME, sum of ids, code points of the text)"""
+    x = np.array(ids, np.int64)
+    return len(ids), int((x * np.arange(1, len(x) + 1)).sum()) % _PRIME, int(x.sum()), len(text)
+
+
+def digests(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sum, decoded_chars): per text, its number of ids, sum((i + 1) * id) over its ids modulo 2**61 - 1 with i from 0, and the code
+    points of what they decode to. Short texts are encoded, decoded and summed in one pass; parts of a giant text are summed behind the ids before them."""
+    text = ids_and_text(docs, id_col, text_col)
+    kind = text.schema["doc_id"].dataType.simpleString()
+    fields = ", ".join(f"{c} bigint" for c in _SUMS)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library = load_pieces(model)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                b = batch.slice(at, BATCH)
+                ids = library.encode(b.column(1).to_pylist(), num_threads=1)
+                made = [_sums(i, t) for i, t in zip(ids, library.decode(ids, num_threads=1))]
+                yield pa.record_batch([b.column(0), *(pa.array(x, pa.int64()) for x in zip(*made))], names=["doc_id", *_SUMS])
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sums, plain, n = [], [], []
-            for ids in b.column("ids").to_pylist():
-                x = np.array(ids, np.int64)
-                sums.append(int((x * np.arange(1, len(x) + 1)).sum()) % prime)
-                plain.append(int(x.sum()))
-                n.append(len(ids))
-            chars = [len(t) for t in b.column("text").to_pylist()]
-            yield pa.record_batch([*(b.column(c) for c in ("doc_id", "rid", "k")), *(pa.array(x, pa.int64()) for x in (n, sums, plain, chars))], names=["doc_id", "rid", "k", "n", "sums", "plain", "chars"])
-
-    parts = decode(encoded, model).mapInArrow(run, f"doc_id {kind}, rid bigint, k int, n bigint, sums bigint, plain bigint, chars bigint")
-    whole = parts.where("rid < 0").select("doc_id", F.col("n").alias("n_tokens"), F.col("sums").alias("ids_sum"), F.col("chars").alias("decoded_chars"))
+            made = [_sums(i, t) for i, t in zip(b.column("ids").to_pylist(), b.column("text").to_pylist())]
+            yield pa.record_batch([*(b.column(c) for c in ("doc_id", "rid", "k")), *(pa.array(x, pa.int64()) for x in (zip(*made) if made else [()] * 4))], names=["doc_id", "rid", "k", *_SUMS])
+
+    names = [F.col("n").alias("n_tokens"), F.col("sums").alias("ids_sum"), F.col("chars").alias("decoded_chars")]
+    short = text.where(F.length("text") <= giant).mapInArrow(whole, f"doc_id {kind}, {fields}").select("doc_id", *names)
+    long = decode(_giant(text.where(F.length("text") > giant), model, chunk), model).mapInArrow(parts, f"doc_id {kind}, rid bigint, k int, {fields}")
     before = F.coalesce(F.sum("n").over(Window.partitionBy("rid").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    moved = parts.where("rid >= 0").withColumn("sums", (F.col("sums").cast("decimal(38,0)") + before * F.col("plain").cast("decimal(38,0)")))
-    sums = moved.groupBy("rid", "doc_id").agg(F.sum("n").alias("n_tokens"), F.pmod(F.sum("sums"), F.lit(prime).cast("decimal(38,0)")).cast("bigint").alias("ids_sum"), F.sum("chars").alias("decoded_chars"))
-    return whole.unionByName(sums.drop("rid"))
+    moved = long.withColumn("sums", F.col("sums").cast("decimal(38,0)") + before * F.col("plain").cast("decimal(38,0)"))
+    total = F.pmod(F.sum("sums"), F.lit(_PRIME).cast("decimal(38,0)")).cast("bigint")
+    return short.unionByName(moved.groupBy("rid", "doc_id").agg(F.sum("n").alias("n"), total.alias("sums"), F.sum("chars").alias("chars")).select("doc_id", *names))
