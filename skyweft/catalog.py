@@ -147,12 +147,12 @@ def summary_mean_of_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_boxplot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = scoring.distribution(scoring.errors(view(spark, sf_dir, "fx_pairs")), ("model", "station_type"), "error")
-    return made.select("model", "station_type", "n", *(F.round(c, 5).alias(c) for c in ("mean", "std", "min", "max", "q25", "median", "q75", "q90", "q95")))
+    return made.select("model", "station_type", "n", *(F.round(c, 9).alias(c) for c in ("mean", "std", "min", "max", "q25", "median", "q75", "q90", "q95")))
 
 
 def model_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = scoring.monthly(scoring.errors(view(spark, sf_dir, "fx_pairs")), ("model", "station_type"), "dt", ("error", "abs_error"))
-    return made.withColumn("mean", F.round("mean", 6))
+    return made.withColumn("mean", F.round("mean", 9))
 
 
 def grid_target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,6 +173,20 @@ def block_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grids.block_average(_dem(spark, sf_dir), target, 0.05, step=RES).select("r", "c", F.round("elevation", 6).alias("elevation"))
 
 
+def linear_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = grids.target_grid(spark, 110.003, 21.007, 111.0, 21.3, 0.033)
+    return grids.between(_dem(spark, sf_dir), target, step=RES).select("r", "c", F.round("elevation", 6).alias("elevation"))
+
+
+def cubic_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = grids.target_grid(spark, 110.003, 21.007, 111.0, 21.3, 0.033)
+    return grids.between(_dem(spark, sf_dir), target, "cubic", step=RES).select("r", "c", F.round("elevation", 6).alias("elevation"))
+
+
+def point_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grids.at_points(_national(spark, sf_dir), _dem(spark, sf_dir).select("r", "c", "id"), ["id"], 109.99, 20.99, RES).select("seq", F.col("id").cast("double").alias("cell"))
+
+
 def tile_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = grids.tile_boxes(view(spark, sf_dir, "fx_tiles"))
     return made.select(F.col("tile_id").cast("bigint").alias("tile_id"), *(F.round(c, 6).alias(c) for c in ("lat_min", "lat_max", "lon_min", "lon_max")), "n_cells")
@@ -310,6 +324,10 @@ def leave_one_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visibility.leave_one_out(_national(spark, sf_dir)).select("seq", F.round("estimated", 3).alias("estimated"), (F.round("error", 3) + 0.0).alias("error"))
 
 
+def estimate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.estimate_counts(visibility.estimate(_national(spark, sf_dir), _regional(spark, sf_dir), True))
+
+
 # slots and state
 
 
@@ -364,6 +382,10 @@ def queue_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.claim(queue, None, 10)[1].select(_epoch("slot"), "status", F.col("attempts").cast("bigint").alias("attempts"))
 
 
+def status_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.tally(queue_claim(spark, sf_dir))
+
+
 def late_rescan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _events(spark, sf_dir).withColumn("arrived", F.timestamp_seconds(F.unix_timestamp("ts") + F.col("event_id") * 7919 % 3600))
     return slots.late_rescan(rows).select(_epoch("slot"), "n_on_time", "n_late", "n_dropped", "recomputed")
@@ -403,10 +425,10 @@ def stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     clean_feed, clean_sentinels, clean_fallback, code_normalize, dedup_best_quality, dedup_first_wins, sample_counts, geo_distance_km, aniso_distance,
     knn4_stations, estimate_national, estimate_combined, idw_all_candidates, idw_top_n, pipeline_national, pipeline_combined, nearest_cell, verify_detail, verify_stats,
-    summary_mean_of_means, model_boxplot_stats, model_monthly, grid_target, fast_nearest, block_average, tile_bbox, tile_gap_pairs, tile_gap_pairs_corrected,
+    summary_mean_of_means, model_boxplot_stats, model_monthly, grid_target, fast_nearest, block_average, linear_resample, cubic_resample, point_cells, tile_bbox, tile_gap_pairs, tile_gap_pairs_corrected,
     unified_axes, axis_spacing, overlap_average, tile_strict_merge, coverage_report, fill_nearest, fill_neighborhood, fill_linear, sobel_gradient, tpi, tpi_wide,
     tpi_thresholds_quantile, tpi_thresholds_zscore, tpi_thresholds_mad, tpi_class, tpi_blocks, fog_classes, fog_band_stats, grid_stats, color_bins, bbox_mask,
-    polygon_mask, value_cdf, value_log_bins, method_correlation, leave_one_out, slot5_counts, slot_window, hourly_slots, anti_published, growth_filter, queue_claim,
+    polygon_mask, value_cdf, value_log_bins, method_correlation, leave_one_out, estimate_counts, slot5_counts, slot_window, hourly_slots, anti_published, growth_filter, queue_claim, status_tally,
     late_rescan, slot_fields, chain_dem_build, gaussian_smooth, smooth_steep_cells, dilation, stream_slots,
 )}
 

@@ -139,3 +139,54 @@ def densify(grid: DataFrame) -> DataFrame:
 def coverage(grid: DataFrame, value: str = "elevation") -> DataFrame:
     n, valid = F.count(F.lit(1)), F.count(value)
     return grid.agg(n.alias("n_cells"), valid.alias("n_valid"), (n - valid).alias("n_missing"), F.try_divide(100.0 * valid, n).alias("valid_percent"))
+
+
+def _corners(method: str, fx: Column, fy: Column) -> list[tuple[int, int, Column]]:
+    """(row offset, column offset, weight) of the source cells that a place between them takes."""
+    if method == "linear":  # two triangles a square, split from its lower right to its upper left corner
+        low = fx + fy <= 1
+        return [(0, 0, F.when(low, 1 - fx - fy).otherwise(0.0)), (0, 1, F.when(low, fx).otherwise(1 - fy)), (1, 0, F.when(low, fy).otherwise(1 - fx)), (1, 1, F.when(low, 0.0).otherwise(fx + fy - 1))]
+
+    def along(t: Column) -> list[Column]:
+        return [((2 - t) * t - 1) * t / 2, ((3 * t - 5) * t * t + 2) / 2, ((4 - 3 * t) * t + 1) * t / 2, (t - 1) * t * t / 2]
+
+    return [(a - 1, b - 1, y * x) for a, y in enumerate(along(fy)) for b, x in enumerate(along(fx))]
+
+
+def between(source: DataFrame, target: DataFrame, method: str = "linear", value: str = "elevation", step: float | None = None) -> DataFrame:
+    """target (r, c, lat, lon) with the value between the source's cell centres: "linear" over the lattice's triangles, "cubic" by Catmull-Rom splines
+    (edges repeated; not a triangulated cubic). NULL outside of the cell centres, and where a cell that counts is missing."""
+    f = _frame(source)
+    dy, dx = step or f["dy"], step or f["dx"]
+    y, x = (F.col("lat") - f["y0"]) / dy, (F.col("lon") - f["x0"]) / dx
+    within = F.col("lat").between(f["y0"], f["y1"]) & F.col("lon").between(f["x0"], f["x1"])
+    iy, ix = F.least(F.floor(y), F.lit(max(0, f["rows"] - 1))).cast("bigint"), F.least(F.floor(x), F.lit(max(0, f["cols"] - 1))).cast("bigint")
+    placed = target.where(within).select("r", "c", iy.alias("iy"), ix.alias("ix"), (y - iy).alias("fy"), (x - ix).alias("fx"))
+    clamp = lambda i, last: F.least(F.greatest(i, F.lit(0)), F.lit(last))
+    entries = [F.struct(clamp(F.col("iy") + a, f["rows"]).cast("bigint").alias("r"), clamp(F.col("ix") + b, f["cols"]).cast("bigint").alias("c"), w.alias("w")) for a, b, w in _corners(method, F.col("fx"), F.col("fy"))]
+    asked = placed.select(F.col("r").alias("tr"), F.col("c").alias("tc"), F.explode(F.filter(F.array(*entries), lambda k: k["w"] != 0)).alias("k")).select("tr", "tc", "k.r", "k.c", "k.w")
+    found = asked.join(source.select("r", "c", F.col(value).alias("v")), ["r", "c"], "left").groupBy("tr", "tc")
+    sums = found.agg(F.when(F.count("v") == F.count(F.lit(1)), F.sum(F.col("v") * F.col("w"))).alias(value))
+    return target.join(sums.select(F.col("tr").alias("r"), F.col("tc").alias("c"), value), ["r", "c"], "left")
+
+
+def resample(source: DataFrame, target: DataFrame, method: str = "fast_nearest", resolution: float | None = None, value: str = "elevation") -> DataFrame:
+    """target with values of the source by one of the methods: fast_nearest (also: vectorized), block_average, nearest (edges extended), linear, cubic."""
+    if method in ("fast_nearest", "vectorized"):
+        return nearest_resample(source, target, value)
+    if method == "nearest":
+        return nearest_resample(source, target, value, inside=False)
+    if method == "block_average":
+        if resolution is None:
+            raise ValueError("block_average needs the target's resolution")
+        return block_average(source, target, resolution, value)
+    if method in ("linear", "cubic"):
+        return between(source, target, method, value)
+    raise ValueError(f"unknown method: {method}")
+
+
+def at_points(points: DataFrame, source: DataFrame, columns: Sequence[str], west: float, south: float, step: float) -> DataFrame:
+    """points (lat, lon) with columns of the cell they lie in (edges truncated downwards); NULLs outside."""
+    inside = points.withColumns({"__r": F.floor((F.col("lat") - south) / step).cast("bigint"), "__c": F.floor((F.col("lon") - west) / step).cast("bigint")})
+    cells = source.select(F.col("r").alias("__r"), F.col("c").alias("__c"), *columns)
+    return inside.join(cells, ["__r", "__c"], "left").drop("__r", "__c")

@@ -145,3 +145,13 @@ def log_bins(rows: DataFrame, value: str, low: float, high: float, bins: int = 2
     width = (math.log10(high) - math.log10(low)) / bins
     place = F.least(F.floor((F.log10(value) - math.log10(low)) / width), F.lit(bins - 1)).cast("bigint")
     return rows.where(F.col(value).between(low, high)).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def tally(rows: DataFrame, status: str = "status") -> DataFrame:
+    """(status, n)"""
+    return rows.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
+
+
+def estimate_counts(stations: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, n_estimated, n_observed)"""
+    return stations.groupBy(*by).agg(F.count_if(F.col("is_vis_est") == 1).alias("n_estimated"), F.count_if(F.col("is_vis_est") == 0).alias("n_observed"))

@@ -138,10 +138,10 @@ ORACLES = {
         round(CASE WHEN stddev_pop(obs) * stddev_pop(fc) > 0 THEN covar_pop(obs, fc) / (stddev_pop(obs) * stddev_pop(fc)) END, 6) AS correlation, round(avg(rel), 6) AS mape FROM err GROUP BY 1, 2""",
     "summary_mean_of_means": f"""{cte('fx_pairs')}, {_ERR}, s AS (SELECT model, station_type, dt, avg(e) AS bias, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse FROM err GROUP BY 1, 2, 3)
         SELECT model, station_type, count(*) AS n_slots, round(avg(bias), 6) AS bias, round(avg(mae), 6) AS mae, round(avg(rmse), 6) AS rmse FROM s GROUP BY 1, 2""",
-    "model_boxplot_stats": f"""{cte('fx_pairs')}, {_ERR} SELECT model, station_type, count(*) AS n, round(avg(e), 5) AS mean, round(stddev_samp(e), 5) AS std, round(min(e), 5) AS min, round(max(e), 5) AS max,
-        round(quantile_cont(e, 0.25), 5) AS q25, round(quantile_cont(e, 0.5), 5) AS median, round(quantile_cont(e, 0.75), 5) AS q75, round(quantile_cont(e, 0.9), 5) AS q90, round(quantile_cont(e, 0.95), 5) AS q95 FROM err GROUP BY 1, 2""",
+    "model_boxplot_stats": f"""{cte('fx_pairs')}, {_ERR} SELECT model, station_type, count(*) AS n, round(avg(e), 9) AS mean, round(stddev_samp(e), 9) AS std, round(min(e), 9) AS min, round(max(e), 9) AS max,
+        round(quantile_cont(e, 0.25), 9) AS q25, round(quantile_cont(e, 0.5), 9) AS median, round(quantile_cont(e, 0.75), 9) AS q75, round(quantile_cont(e, 0.9), 9) AS q90, round(quantile_cont(e, 0.95), 9) AS q95 FROM err GROUP BY 1, 2""",
     "model_monthly": f"""{cte('fx_pairs')}, {_ERR}, g AS (SELECT model, station_type, strftime(dt, '%Y-%m') AS month, avg(e) AS e, avg(abs(e)) AS a FROM err GROUP BY 1, 2, 3)
-        SELECT model, station_type, month, 'error' AS metric, round(e, 6) AS mean FROM g UNION ALL SELECT model, station_type, month, 'abs_error', round(a, 6) FROM g""",
+        SELECT model, station_type, month, 'error' AS metric, round(e, 9) AS mean FROM g UNION ALL SELECT model, station_type, month, 'abs_error', round(a, 9) FROM g""",
     "grid_target": f"WITH {_target(110.0, 21.0, 21, 51, 0.01)} SELECT r, c, round(lat, 6) AS lat, round(lon, 6) AS lon FROM t",
     "fast_nearest": f"""{cte('fx_dem')}, {_FRAME}, {_target(109.955, 20.957, 20, 36, 0.03)},
         p AS (SELECT t.r, t.c, CASE WHEN lat BETWEEN y0 AND y1 AND lon BETWEEN x0 AND x1 THEN least(nr, CAST(round_even((lat - y0) / 0.02, 0) AS BIGINT)) END AS pr, least(nc, CAST(round_even((lon - x0) / 0.02, 0) AS BIGINT)) AS pc FROM t, f)
@@ -149,6 +149,16 @@ ORACLES = {
     "block_average": f"""{cte('fx_dem')}, {_FRAME}, {_target(110.005, 21.005, 9, 39, 0.05)},
         p AS (SELECT t.r, t.c, CAST(floor((lat - y0) / 0.02) AS BIGINT) AS pr, CAST(floor((lon - x0) / 0.02) AS BIGINT) AS pc, lat BETWEEN y0 AND y1 AND lon BETWEEN x0 AND x1 AS inside FROM t, f)
         SELECT p.r, p.c, round(avg(g.elevation), 6) AS elevation FROM p LEFT JOIN fx_dem g ON p.inside AND g.r BETWEEN p.pr - 1 AND p.pr + 1 AND g.c BETWEEN p.pc - 1 AND p.pc + 1 GROUP BY 1, 2""",
+    "linear_resample": f"""{cte('fx_dem')}, {_FRAME}, {_target(110.003, 21.007, 10, 32, 0.033)},
+        p AS (SELECT t.r, t.c, (lat - y0) / 0.02 AS y, (lon - x0) / 0.02 AS x, nr, nc FROM t, f WHERE lat BETWEEN y0 AND y1 AND lon BETWEEN x0 AND x1),
+        q AS (SELECT r, c, CAST(least(floor(y), nr - 1) AS BIGINT) AS iy, CAST(least(floor(x), nc - 1) AS BIGINT) AS ix, y - least(floor(y), nr - 1) AS fy, x - least(floor(x), nc - 1) AS fx FROM p),
+        k AS (SELECT r, c, iy AS sr, ix AS sc, CASE WHEN fx + fy <= 1 THEN 1 - fx - fy ELSE 0 END AS w FROM q UNION ALL SELECT r, c, iy, ix + 1, CASE WHEN fx + fy <= 1 THEN fx ELSE 1 - fy END FROM q
+              UNION ALL SELECT r, c, iy + 1, ix, CASE WHEN fx + fy <= 1 THEN fy ELSE 1 - fx END FROM q UNION ALL SELECT r, c, iy + 1, ix + 1, CASE WHEN fx + fy <= 1 THEN 0 ELSE fx + fy - 1 END FROM q),
+        s AS (SELECT k.r, k.c, CASE WHEN count(g.elevation) = count(*) THEN sum(g.elevation * w) END AS v FROM k LEFT JOIN fx_dem g ON k.sr = g.r AND k.sc = g.c WHERE w <> 0 GROUP BY 1, 2)
+        SELECT t.r, t.c, round(v, 6) AS elevation FROM t LEFT JOIN s ON t.r = s.r AND t.c = s.c""",
+    "point_cells": f"""{cte('fx_national', 'fx_dem')} SELECT n.seq, CAST(g.id AS DOUBLE) AS cell FROM fx_national n LEFT JOIN fx_dem g
+        ON g.r = CAST(floor((n.lat - 20.99::DOUBLE) / 0.02::DOUBLE) AS BIGINT) AND g.c = CAST(floor((n.lon - 109.99::DOUBLE) / 0.02::DOUBLE) AS BIGINT)""",
+    "estimate_counts": f"{_estimate(True)} SELECT count(*) FILTER (is_vis_est = 1) AS n_estimated, count(*) FILTER (is_vis_est = 0) AS n_observed FROM stations",
     "tile_bbox": f"{cte('fx_tiles')}, {_BOXES} SELECT tile_id, round(lat_min, 6) AS lat_min, round(lat_max, 6) AS lat_max, round(lon_min, 6) AS lon_min, round(lon_max, 6) AS lon_max, n_cells FROM b",
     "tile_gap_pairs": _pairs("{mlat} AND {mlon}"),
     "tile_gap_pairs_corrected": _pairs("(({mlat} AND ({olon} OR {mlon})) OR ({mlon} AND ({olat} OR {mlat})))"),
@@ -205,6 +215,9 @@ ORACLES = {
     "queue_claim": f"""WITH h AS (SELECT DISTINCT {_HOUR} AS slot FROM events), q AS (SELECT slot, CASE WHEN slot / 3600 % 5 = 0 THEN 'done' WHEN slot / 3600 % 7 = 0 THEN 'processing' WHEN slot / 3600 % 3 = 0 THEN 'failed' ELSE 'pending' END AS status FROM h),
         t AS (SELECT slot FROM q WHERE status IN ('pending', 'failed') ORDER BY slot LIMIT 10)
         SELECT q.slot, CASE WHEN t.slot IS NOT NULL THEN 'processing' ELSE status END AS status, CAST(1 + CASE WHEN t.slot IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS attempts FROM q LEFT JOIN t ON q.slot = t.slot""",
+    "status_tally": f"""WITH h AS (SELECT DISTINCT {_HOUR} AS slot FROM events), q AS (SELECT slot, CASE WHEN slot / 3600 % 5 = 0 THEN 'done' WHEN slot / 3600 % 7 = 0 THEN 'processing' WHEN slot / 3600 % 3 = 0 THEN 'failed' ELSE 'pending' END AS status FROM h),
+        t AS (SELECT slot FROM q WHERE status IN ('pending', 'failed') ORDER BY slot LIMIT 10)
+        SELECT CASE WHEN slot IN (SELECT slot FROM t) THEN 'processing' ELSE status END AS status, count(*) AS n FROM q GROUP BY 1""",
     "late_rescan": f"""WITH e AS (SELECT {_SLOT} AS slot, CAST(floor(epoch(ts)) AS BIGINT) + event_id * 7919 % 3600 AS a FROM events)
         SELECT slot, count(*) FILTER (a < slot + 300) AS n_on_time, count(*) FILTER (a >= slot + 300 AND a < slot + 1800) AS n_late, count(*) FILTER (a >= slot + 1800) AS n_dropped,
         count(*) FILTER (a >= slot + 300 AND a < slot + 1800) > 0 AS recomputed FROM e GROUP BY 1""",

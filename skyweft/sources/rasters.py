@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+import urllib.request
 import zlib
 from collections.abc import Iterator
 
@@ -189,13 +190,20 @@ def _cells(path: str, values: np.ndarray, lats: np.ndarray, lons: np.ndarray) ->
         )
 
 
-def read_rasters(spark: SparkSession, path: str, masked: bool = True) -> DataFrame:
-    """GeoTIFF files as long rows, latitudes ascending whichever way a file runs; lat and lon are cell centres."""
+def read_rasters(spark: SparkSession, path: str, masked: bool = True, skip_bad: bool = False) -> DataFrame:
+    """GeoTIFF files as long rows, latitudes ascending whichever way a file runs; lat and lon are cell centres. skip_bad: a file that can't be decoded
+    is one row with NULLs but for its path, so that a directory isn't lost to one bad tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                values, (west, north, dx, dy) = read_geotiff(data, masked)
+                try:
+                    values, (west, north, dx, dy) = read_geotiff(data, masked)
+                except (ValueError, KeyError, struct.error, zlib.error):
+                    if not skip_bad:
+                        raise
+                    yield pa.record_batch([pa.array([name]), *(pa.array([None], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))], names=["path", "r", "c", "lat", "lon", "value"])
+                    continue
                 lats = north + (np.arange(values.shape[0]) + 0.5) * dy
                 lons = west + (np.arange(values.shape[1]) + 0.5) * dx
                 if dy < 0:
@@ -247,6 +255,28 @@ def read_rings(text: str) -> list[list[tuple[float, float]]]:
     return rings
 
 
+def file_server_url(url: str) -> str:
+    """The download address that belongs to an OPeNDAP address."""
+    return url.replace("/dodsC/", "/fileServer/")
+
+
+def download(url: str, timeout: float = 30.0) -> bytes:
+    """A product's bytes, within the time."""
+    with urllib.request.urlopen(file_server_url(url), timeout=timeout) as answer:
+        return answer.read()
+
+
+def blocks_geojson(runs: DataFrame, west: float, south: float, step: float) -> DataFrame:
+    """(block_id, cls, geojson): each block of outlines() as a MultiPolygon of its runs, one row a block; made of expressions, so blocks of any number are
+    written by the executors."""
+    x0, x1, y0, y1 = F.lit(west) + F.col("c0") * step, F.lit(west) + (F.col("c1") + 1) * step, F.lit(south) + F.col("r") * step, F.lit(south) + (F.col("r") + 1) * step
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    ring = F.concat(F.lit("[["), F.concat_ws(",", *(F.format_string("[%.6f,%.6f]", a, b) for a, b in corners)), F.lit("]]"))
+    parts = runs.groupBy("block_id", "cls").agg(F.array_sort(F.collect_list(F.struct("r", "c0", ring.alias("ring")))).alias("parts"))
+    body = F.concat_ws(",", F.transform("parts", lambda p: p["ring"]))
+    return parts.select("block_id", "cls", F.concat(F.lit('{"type":"MultiPolygon","coordinates":['), body, F.lit("]}")).alias("geojson"))
+
+
 def write_grid(grid: DataFrame, path: str, partition: tuple[str, ...] = ("source_type", "date", "slot"), attributes: dict | None = None) -> None:
     """A product as Parquet partitioned by what it is looked up by, replaced partition by partition, and its attributes beside it."""
     spark = grid.sparkSession
