@@ -109,6 +109,18 @@ def idw_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _idw(spark, sf_dir, _national(spark, sf_dir), "top_n")
 
 
+def _idw_arrow(spark: SparkSession, sf_dir: str, selection: str) -> DataFrame:
+    return visibility.interpolate_arrow(_dem(spark, sf_dir), _national(spark, sf_dir), selection=selection).select("id", "r", "c", F.round("v", 3).alias("v"))
+
+
+def idw_all_candidates_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _idw_arrow(spark, sf_dir, "all_candidates")
+
+
+def idw_top_n_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _idw_arrow(spark, sf_dir, "top_n")
+
+
 def pipeline_national(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visibility.visibility_grid(_national(spark, sf_dir), _regional(spark, sf_dir), _dem(spark, sf_dir), False).select("id", "r", "c", F.round("v", 3).alias("v"))
 
@@ -424,7 +436,7 @@ def stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     clean_feed, clean_sentinels, clean_fallback, code_normalize, dedup_best_quality, dedup_first_wins, sample_counts, geo_distance_km, aniso_distance,
-    knn4_stations, estimate_national, estimate_combined, idw_all_candidates, idw_top_n, pipeline_national, pipeline_combined, nearest_cell, verify_detail, verify_stats,
+    knn4_stations, estimate_national, estimate_combined, idw_all_candidates, idw_top_n, idw_all_candidates_arrow, idw_top_n_arrow, pipeline_national, pipeline_combined, nearest_cell, verify_detail, verify_stats,
     summary_mean_of_means, model_boxplot_stats, model_monthly, grid_target, fast_nearest, block_average, linear_resample, cubic_resample, point_cells, tile_bbox, tile_gap_pairs, tile_gap_pairs_corrected,
     unified_axes, axis_spacing, overlap_average, tile_strict_merge, coverage_report, fill_nearest, fill_neighborhood, fill_linear, sobel_gradient, tpi, tpi_wide,
     tpi_thresholds_quantile, tpi_thresholds_zscore, tpi_thresholds_mad, tpi_class, tpi_blocks, fog_classes, fog_band_stats, grid_stats, color_bins, bbox_mask,

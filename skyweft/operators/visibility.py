@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import aniso_km, degree_weight, geo_km, humidity_weight, power_weight
+from .. import checkpoints
+from ..functions.geo import EARTH_KM, TINY, aniso_km, degree_weight, geo_km, humidity_weight, power_weight
 from .cleaning import first_wins, usable
-from .neighbours import nearest_stations
+from .neighbours import BLOCKS, MAX_STATIONS, SLACK, nearest_stations
 
 STATION_COLUMNS = ("code", "lon", "lat", "altitude", "rh", "vis", "vis_rh", "vis_dis", "is_vis_est")
 
@@ -84,6 +87,66 @@ def interpolate(cells: DataFrame, stations: DataFrame, beta: float = 10.0, power
     return found.withColumn("v", value).drop("near")
 
 
+def interpolate_arrow(cells: DataFrame, stations: DataFrame, beta: float = 10.0, power: float = 2.0, n_neighbors: int = 6, selection: str = "all_candidates", max_stations: int = MAX_STATIONS) -> DataFrame:
+    """interpolate() with its arithmetic in NumPy, for very large grids: cells pass through as Arrow batches and are never shuffled. The stations of one
+    slot go to every task, so their number is checked; beyond max_stations this is interpolate()."""
+    if selection not in ("all_candidates", "top_n"):
+        raise ValueError(f"unknown selection: {selection}")
+    valid = stations.na.drop(subset=["lon", "lat", "vis", "altitude"])
+    rows = valid.select("lat", "lon", "altitude", "vis", "seq").limit(max_stations + 1).collect()
+    if len(rows) > max_stations:
+        return interpolate(cells, stations, beta, power, n_neighbors, selection)
+    table = np.array(sorted((tuple(r) for r in rows), key=lambda r: r[4]), float).reshape(-1, 5)[:, :4]
+    keep = n_neighbors if selection == "top_n" else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lat, lon, height = (b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("lat", "lon", "elevation"))
+            v = weighted_mean(lat, lon, height, table, 2 * n_neighbors, beta, power, keep)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(v, mask=np.isnan(v))], names=[*b.schema.names, "v"])
+
+    return cells.na.drop(subset=["lat", "lon"]).mapInArrow(run, cells.select("*", F.lit(None).cast("double").alias("v")).schema)
+
+
+def weighted_mean(lat: np.ndarray, lon: np.ndarray, height: np.ndarray, stations: np.ndarray, k: int, beta: float, power: float, keep: int | None) -> np.ndarray:
+    """The values of cells from stations (lat, lon, altitude, vis, in order of seq), block by block: a block keeps the stations its cells can have among
+    their k nearest (see neighbours)."""
+    out = np.full(len(lat), np.nan)
+    if not len(stations) or not len(lat):
+        return out
+    size = BLOCKS[-1]
+    _, block = np.unique(np.floor(lat / size) * 1e6 + np.floor(lon / size), return_inverse=True)
+    order = np.argsort(block, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+        y, x = lat[part], lon[part]
+        cy, cx = (y.min() + y.max()) / 2, (x.min() + x.max()) / 2
+        far = np.hypot(stations[:, 0] - cy, stations[:, 1] - cx)
+        near = stations
+        if len(stations) > k:
+            near = stations[far <= np.partition(far, k - 1)[k - 1] + 2 * np.hypot(y.max() - cy, x.max() - cx) + SLACK]
+        for at in range(0, len(part), max(1, 2_000_000 // len(near))):
+            rows = part[at : at + max(1, 2_000_000 // len(near))]
+            y, x, z = (a[rows, None] for a in (lat, lon, height))
+            dy, dx = y - near[:, 0], x - near[:, 1]
+            if len(near) > k:
+                chosen = np.argsort(np.sqrt(dy * dy + dx * dx), axis=1, kind="stable")[:, :k]
+                sy, sx, sz, sv = (near[:, i][chosen] for i in range(4))
+            else:
+                sy, sx, sz, sv = (np.broadcast_to(near[:, i], (len(rows), len(near))) for i in range(4))
+            east = EARTH_KM * np.radians(sx - x) * np.cos(np.radians((y + sy) / 2))
+            north = EARTH_KM * np.radians(sy - y)
+            up = beta * np.abs(z - sz) / 1000.0
+            d = np.sqrt(east * east + north * north + up * up)
+            used = d > 0  # False for cells without elevation too
+            if keep is not None and d.shape[1] > keep:
+                best = np.argsort(np.where(used, d, np.inf), axis=1, kind="stable")[:, :keep]
+                d, sv, used = (np.take_along_axis(a, best, axis=1) for a in (d, sv, used))
+            w = np.where(used, 1.0 / np.maximum(d, TINY) ** power, 0.0)
+            total = w.sum(axis=1)
+            out[rows] = np.divide((w * sv).sum(axis=1), total, out=np.full(len(rows), np.nan), where=total > 0)
+    return out
+
+
 def visibility_grid(national: DataFrame, regional: DataFrame, cells: DataFrame, combined: bool, by: Sequence[str] = (), **options) -> DataFrame:
-    """The whole chain: estimate the stations, interpolate them onto the grid."""
-    return interpolate(cells, estimate(national, regional, combined, by), by=by, **options)
+    """The whole chain: estimate the stations, interpolate them onto the grid. The station table is used more than once and small, so it is kept."""
+    return interpolate(cells, checkpoints.cut(estimate(national, regional, combined, by)), by=by, **options)

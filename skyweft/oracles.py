@@ -225,3 +225,5 @@ ORACLES = {
     "stream_slots": f"SELECT {_SLOT} AS slot, count(*) AS n_rows FROM events GROUP BY 1",
     "dilation": f"""{cte('fx_dem')} SELECT g.r, g.c, coalesce(bool_or(s.elevation > 1450), false) AS dilated FROM fx_dem g LEFT JOIN fx_dem s ON abs(s.r - g.r) + abs(s.c - g.c) <= 2 GROUP BY 1, 2""",
 }
+# one result, two engines
+ORACLES |= {f"{name}_arrow": ORACLES[name] for name in ("idw_all_candidates", "idw_top_n")}

@@ -26,7 +26,7 @@ def cycle(national: DataFrame, regional: DataFrame, cells: DataFrame, by: Sequen
     """Cleaned stations of any number of slots -> (station tables, grids), both with source_type; all slots are one job."""
     both = {"national": False, "national_and_regional": True}
     tables = {k: visibility.estimate(national, regional, combined, by).withColumn("source_type", F.lit(k)) for k, combined in both.items()}
-    stations = tables["national"].unionByName(tables["national_and_regional"])
+    stations = checkpoints.cut(tables["national"].unionByName(tables["national_and_regional"]))
     slotted = stations.select(*by).distinct().crossJoin(cells)
     found = None
     for k in both:

@@ -142,8 +142,8 @@ def test_interpolation_equals_brute_force(spark, seed, n):
     cells = [(float(a), float(b), float(c)) for a, b, c in zip(rng.uniform(20, 27, 25), rng.uniform(108, 118, 25), rng.uniform(0, 900, 25))] + [stations[0][:3]]
     s = spark.createDataFrame([(i, *x) for i, x in enumerate(stations)], "seq bigint, lat double, lon double, altitude double, vis double")
     c = spark.createDataFrame([(i, *x) for i, x in enumerate(cells)], "id bigint, lat double, lon double, elevation double")
-    for selection in ("all_candidates", "top_n"):
-        got = dict(visibility.interpolate(c, s, selection=selection).select("id", "v").collect())
+    for selection, engine in ((a, b) for a in ("all_candidates", "top_n") for b in (visibility.interpolate, visibility.interpolate_arrow)):
+        got = dict(engine(c, s, selection=selection).select("id", "v").collect())
         for i, v in enumerate(numpy_idw(cells, stations, top=selection == "top_n")):
             assert (got[i] is None and v is None) or got[i] == pytest.approx(v, rel=1e-9)
             if v is not None:
