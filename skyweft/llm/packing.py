@@ -36,6 +36,14 @@ CACHED_UNITS, BATCH = 400_000, 2048
 LATIN_UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\t-\\r \\x85\\xa00-9²³¹¼½¾a-zªµºß-öø-ÿ]+")
 
 
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordIds:
     """Token ids of whole texts by a tokenizer that lower-cases, drops white space and never joins text over what its split pattern separates: a
     text's ids are its units' ids, and most units recur, so a worker keeps the ids of those it has met.
@@ -50,7 +58,7 @@ class WordIds:
         self.before: dict[str, bytes] = {}
 
     def _units(self, text: str) -> tuple[bool, list[str]]:
-        if (text.isascii() or max(text) <= "ÿ") and not any(x in text for x in self.special):
+        if is_latin(text) and not any(x in text for x in self.special):
             return True, LATIN_UNITS.findall(text.lower())
         return False, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
