@@ -34,15 +34,15 @@ NEVER = frozenset("head nav aside form button select option input label fieldset
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
 #: Words of class and id names (split at -, _ and case) of what surrounds an article.
 AROUND = frozenset("""
-    ad ads adv advert adverts advertisement advertisements advertising adsense adslot sponsor sponsored sponsors promo promos promotion promoted banner banners
+    ad ads adv advert adverts advertisement advertisements advertising adsense adslot adbox adunit adcontainer adsbygoogle sponsor sponsored sponsors promo promos promotion promoted banner banners
     nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toc skip topbar toolbar
-    sidebar sidebars aside rail widget widgets related recommended recommendations trending popular
+    sidebar sidebars side aside rail widget widgets related recommended recommendations trending popular
     cookie cookies consent gdpr notice notices alert popup popups modal overlay newsletter subscribe subscription signup paywall
-    comment comments commentlist disqus reply replies respond discussion
+    comment comments commentlist disqus reply replies respond responses discussion
     share sharing social follow footer foot masthead header copyright login search form
 """.split())
 #: Those that may also name parts of an article inside one, and words that make a name one of the page's layout ("with-sidebar").
-OWN = frozenset("header footer foot masthead notice notices alert".split())
+OWN = frozenset("header masthead".split())
 LAYOUT = frozenset("with without has no".split())
 #: What an end tag or a start tag may close without saying so: tag -> (closed by its start, not looked for beyond).
 CLOSES = {
