@@ -100,17 +100,14 @@ class Windows:
         taken, self.new = self.new[:n], self.new[n:]
         system = self._kept_system()
         repeated = ([system] if system else []) + self.history
-        text, spans = "", []
-        parts = []
-        at = 0
+        parts, spans, at = [], [], 0
         for k, (formatted, start, stop, _, role) in enumerate(repeated + taken):
             if k >= len(repeated) and role == "assistant":
                 spans.append({"start": at + start, "end": at + stop})
             parts.append(formatted)
             at += len(formatted)
-        text = "".join(parts)
         tokens = sum(t[3] for t in repeated + taken)
-        out = {"window": self.number, "first_turn": self.first, "n_repeated": len(repeated), "n_new": n, "tokens": tokens, "over_budget": tokens > self.budget, "text": text, "loss": spans}
+        out = {"window": self.number, "first_turn": self.first, "n_repeated": len(repeated), "n_new": n, "tokens": tokens, "over_budget": tokens > self.budget, "text": "".join(parts), "loss": spans}
         self.first += n
         self.number += 1
         history, room = [], self.room
