@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import ids_and_text, materialize
-from .tokenizing import load_tokenizer, once
+from .tokenizing import load_tokenizer, release
 
 CAPACITY, END_ID, SALTS = 4096, 1, 64
 #: Units whose ids a worker keeps (in each of two generations), and pieces an Arrow batch returns at most.
@@ -94,7 +94,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     text = ids_and_text(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = once(("words", tokenizer), lambda: WordIds(tokenizer))
+        words = WordIds(tokenizer)  # a task's own: its units hardly recur in other tasks, and idle workers would keep them
         end = np.array([end_id], "<u4").tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
@@ -106,6 +106,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                 for i in range(0, len(rows), BATCH):
                     part = list(zip(*rows[i : i + BATCH]))
                     yield pa.record_batch([pa.array(part[0], b.column(0).type), pa.array(part[1], pa.int32()), pa.array(part[2], pa.int64()), pa.array(part[3], pa.int64()), pa.array(part[4], pa.binary())], names=["doc_id", "piece", "start", "length", "ids"])
+        del words
+        release()
 
     kind = text.schema["doc_id"].dataType.simpleString()
     return text.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary")

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import ids_and_text, materialize
+from .tokenizing import release
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 REFERENCES, LOCAL_PIVOTS = 12, 6
@@ -67,6 +68,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, id_col: str = "doc_id",
         for b in batches:
             fp = [fingerprint(x.as_py(), width) for x in b.column(1)]
             yield pa.record_batch([b.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+        release()
 
     return text.mapInArrow(run, f"doc_id {text.schema['doc_id'].dataType.simpleString()}, fp bigint")
 

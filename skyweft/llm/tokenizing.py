@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import sys
 import types
@@ -18,6 +20,18 @@ def once(key, make):
     return store[key]
 
 
+def release() -> None:
+    """Gives back to the system what a task has freed: workers outlive tasks, and a few idle ones would hold on to it together."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def tokenizer_path(name: str) -> str:
     """The path of a public vocabulary file; any other path may be given to the operators as well."""
     import public_tokenizers
