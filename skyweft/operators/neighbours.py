@@ -6,11 +6,12 @@ and a target ranks only its own block's. Blocks are few beside targets and the c
 only shuffle of the targets is their join with the blocks; ranking is done within a row.
 
 The stations of one time slot are a dimension table: the top block's array holds them all. Their number is checked; beyond `MAX_STATIONS` the
-plain form is used, a ranked join against the stations of each neighbouring coarse block.
+stations are joined to the targets' blocks over rings of neighbouring blocks instead.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -76,18 +77,19 @@ def nearest_stations(targets: DataFrame, stations: DataFrame, k: int, payload: S
 
 
 def _plain(targets: DataFrame, stations: DataFrame, k: int, entry: Column) -> DataFrame:
-    """Any number of stations: each coarse block keeps the stations of growing rings of blocks until k of them lie within the ring's width."""
-    size, ring = BLOCKS[0], 1
+    """Any number of stations: each block takes the stations of growing rings of blocks around it, until k of them lie so near that what is outside of the
+    rings is farther. Blocks are sized for about k stations each."""
+    total = stations.count()
+    size, ring = max(0.05, math.sqrt(64_800 * k / max(1, total))), 3
     cells = stations.select(*_block(size), entry.alias("s"))
     boxes = targets.na.drop(subset=["lat", "lon"]).select(*_block(size)).distinct()
     y, x = _names(0)
     done, todo = None, boxes
-    total = stations.count()
     while True:
         offsets = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-ring, ring + 1) for b in range(-ring, ring + 1))))
         around = todo.select("*", offsets.alias("o")).select(F.col(y).alias("ty"), F.col(x).alias("tx"), (F.col(y) + F.col("o.a")).alias(y), (F.col(x) + F.col("o.b")).alias(x))
         lists = around.join(cells, [y, x]).groupBy("ty", "tx").agg(F.collect_list("s").alias("__st"))
-        # k stations at most `size` * sqrt(2) * (ring / 2 + 1) away leave nothing nearer outside
+        # k stations within half the rings are at most sqrt(2) * (half + 1) blocks away, what is outside at least `ring` blocks
         inner = lists.withColumn("n", F.size(F.filter("__st", lambda s: (F.abs(F.floor(s["lat"] / size) - F.col("ty")) <= (ring - 1) // 2) & (F.abs(F.floor(s["lon"] / size) - F.col("tx")) <= (ring - 1) // 2))))
         enough = inner.where((F.col("n") >= k) | (F.size("__st") >= total)).select(F.col("ty").alias(y), F.col("tx").alias(x), "__st")
         done = enough if done is None else done.unionByName(enough)
