@@ -1,0 +1,173 @@
+"""Near-dedup of whole documents: sets of word shingles, MinHash bands as the index, every link verified by Jaccard similarity.
+
+1. Each text's set of word shingles as XXH64 values (Arrow batches, one text at a time), BANDS keys of ROWS minima each, and a digest of
+   the set. Texts with equal sets become one vertex, so copies never meet each other.
+2. Vertices that share a key may be compared. A pair of similarity s shares none with chance (1 - s^ROWS)^BANDS: 5e-8 at 0.8, 2e-15 at 0.9.
+3. Each bucket takes a few of its own members as pivots, and all its members are verified against them on the texts themselves: those
+   alike form stars. What star contraction has connected needs no more comparing: buckets left with one component are done.
+4. For the vertices of the other buckets, shingles that no other of them has are counted: a pair can have no more in common than what
+   the one with fewer shared shingles has. Members of different components are paired, all but the largest component's against the rest;
+   pairs which that bound leaves are verified.
+5. Components of all links; of each the row with the smallest id stays.
+
+No bucket is capped or sampled. Rows are told apart by a number of their own, so repeated rows and rows without an id are settled like
+any other; a row without an id stays only if no row of its component has one.
+
+Defined results: null text counts as empty; texts without words have the empty set and are alike; fewer words than a shingle has make
+one shingle; A-Z are lower-cased. An empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .components import components
+from .shared import materialize
+from .simhash import shingle_hashes
+from .tokenizing import release
+
+#: Words of a shingle, and the least similarity of a link in percent.
+WIDTH, PERCENT = 5, 80
+BANDS, ROWS, LOCAL_PIVOTS = 32, 4, 3
+_CHUNK = 1 << 12
+_KEPT_SETS = 256
+
+
+def shingle_set(text: str, width: int = WIDTH) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles."""
+    return np.unique(shingle_hashes(text, width))
+
+
+def _functions() -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.default_rng(42)
+    return random.integers(0, 2**64, BANDS * ROWS, np.uint64) | np.uint64(1), random.integers(0, 2**64, BANDS * ROWS, np.uint64)
+
+
+def band_keys(hashes: np.ndarray, functions: tuple[np.ndarray, np.ndarray]) -> list[int]:
+    """A signed key for each band."""
+    times, plus = functions
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), _CHUNK):
+        np.minimum(least, (hashes[at : at + _CHUNK, None] * times + plus).min(axis=0), out=least)
+    return [xxhash.xxh64_intdigest(b.tobytes(), k) - 2**63 for k, b in enumerate(least.reshape(BANDS, ROWS))]
+
+
+def signatures(rows: DataFrame, width: int = WIDTH) -> DataFrame:
+    """rows (rid, doc_id, text) -> (rid, doc_id, n, digest, keys): the set's size, its digest and its bands' keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        functions = _functions()
+        for b in batches:
+            sizes, digests, keys = [], [], []
+            for x in b.column(2):
+                found = shingle_set(x.as_py(), width)
+                sizes.append(len(found))
+                digests.append(xxhash.xxh3_128_digest(found.tobytes()))
+                keys.append(band_keys(found, functions))
+            columns = [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=["rid", "doc_id", "n", "digest", "keys"])
+        release()
+
+    return rows.mapInArrow(run, f"rid bigint, doc_id {rows.schema['doc_id'].dataType.simpleString()}, n bigint, digest binary, keys array<bigint>")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """pairs (a, b), texts (v, text) -> (a, b, common, total): the shingles that both or any of the two have."""
+    both = pairs.join(texts.select(F.col("v").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("v").alias("b"), F.col("text").alias("tb")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, np.ndarray] = {}
+
+        def of(v: int, text: pa.Scalar) -> np.ndarray:
+            if v not in sets:
+                if len(sets) >= _KEPT_SETS:
+                    del sets[next(iter(sets))]
+                sets[v] = shingle_set(text.as_py(), width)
+            return sets[v]
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                common, total = [], []
+                for a, b, ta, tb in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                    x, y = of(a, ta), of(b, tb)
+                    common.append(len(np.intersect1d(x, y, assume_unique=True)))
+                    total.append(len(x) + len(y) - common[-1])
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(total, pa.int64())], names=["a", "b", "common", "total"])
+        release()
+
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint, common bigint, total bigint")
+
+
+def shared_shingles(texts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """texts (v, text) of different sets -> (v, alone): how many of its shingles no other text has; only where there are any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for v, text in zip(b.column(0).to_pylist(), b.column(1)):
+                found = shingle_set(text.as_py(), width).view(np.int64)
+                yield pa.record_batch([pa.array(np.full(len(found), v), pa.int64()), pa.array(found, pa.int64())], names=["v", "hash"])
+        release()
+
+    hashes = texts.select("v", "text").mapInArrow(run, "v bigint, hash bigint")
+    once = hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("times"), F.min("v").alias("v")).where("times = 1")
+    return once.groupBy("v").agg(F.count(F.lit(1)).alias("alone"))
+
+
+def _alike(common: Column, total: Column, percent: int) -> Column:
+    return 100 * common >= percent * total
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """members with their bucket's largest component as top, of the buckets with more than one."""
+    sizes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    tops = sizes.groupBy("key").agg(F.max(F.struct("size", "root")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return members.join(tops.select("key", F.col("most.root").alias("top")), "key")
+
+
+def links(vertices: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """vertices (v, n, keys), texts (v, text) -> verified links (a, b) that connect all that is alike."""
+    dealt = vertices.select("v", "n", F.explode("keys").alias("key"))
+    chosen = [F.min(F.struct(F.xxhash64("v", F.lit(j)).alias("h"), "v", "n")).alias(f"p{j}") for j in range(LOCAL_PIVOTS)]
+    buckets = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *chosen).where("size > 1").drop("size")
+    members = materialize(dealt.join(buckets, "key"), "buckets")
+    pivots = members.select("v", "n", F.explode(F.array(*(F.struct(f"p{j}.v", f"p{j}.n") for j in range(LOCAL_PIVOTS)))).alias("p"))
+    fits = _alike(F.least("n", "p.n"), F.greatest("n", "p.n"), percent) & (F.col("v") != F.col("p.v"))
+    asked = pivots.where(fits).select(F.greatest("v", "p.v").alias("a"), F.least("v", "p.v").alias("b")).distinct()
+    told = materialize(verified(asked, texts, width), "verified")
+    near = told.where(_alike(F.col("common"), F.col("total"), percent)).select("a", "b")
+    stars = components(near).withColumnRenamed("v", "m")
+    # what is still apart
+    named = members.select("key", "v", "n").join(stars, F.col("v") == F.col("m"), "left").select("key", "v", "n", F.coalesce("root", "v").alias("root"))
+    rest = materialize(_open(materialize(named, "buckets")).drop("top"), "buckets")
+    alone = shared_shingles(texts.join(rest.select("v").distinct(), "v"), width)
+    bound = rest.join(alone, "v", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+    rest = materialize(_open(materialize(bound.where(_alike(F.col("shared"), F.col("n"), percent)), "buckets")), "buckets")
+    x, y = rest.where("root <> top").alias("x"), rest.alias("y")
+    cx, cy = {c: F.col(f"x.{c}") for c in rest.columns}, {c: F.col(f"y.{c}") for c in rest.columns}
+    most = F.least(cx["shared"], cy["shared"], cx["n"], cy["n"])
+    test = (cx["key"] == cy["key"]) & (cx["root"] != cy["root"]) & ((cy["root"] == cy["top"]) | (cx["v"] < cy["v"]))
+    test = test & _alike(most, cx["n"] + cy["n"] - most, percent)
+    left = x.join(y, test).select(F.greatest(cx["v"], cy["v"]).alias("a"), F.least(cx["v"], cy["v"]).alias("b")).distinct()
+    more = verified(left.join(told.select("a", "b"), ["a", "b"], "left_anti"), texts, width)
+    return near.unionByName(more.where(_alike(F.col("common"), F.col("total"), percent)).select("a", "b"))
+
+
+def survivors(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the rows of a component other than the one with the smallest id; their columns as they are."""
+    rows = materialize(docs.withColumn("__rid", F.monotonically_increasing_id()), "rows")
+    texts = rows.select(F.col("__rid").alias("rid"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    signs = materialize(signatures(texts, width), "signatures")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
+    sets = materialize(signs.groupBy("digest").agg(first), "sets")
+    vertices = materialize(signs.join(sets.select(F.col("first.rid").alias("v")), F.col("rid") == F.col("v")).select("v", "n", "keys"), "vertices")
+    found = components(links(vertices, texts.select(F.col("rid").alias("v"), "text"), width, percent))
+    roots = sets.select(F.col("first.rid").alias("m"), "first").join(found, F.col("m") == F.col("v"), "left").select("first", F.coalesce("root", "m").alias("root"))
+    stay = roots.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("__stays"))
+    return rows.join(stay, rows["__rid"] == stay["__stays"], "left_semi").drop("__rid")

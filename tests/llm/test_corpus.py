@@ -292,3 +292,40 @@ def test_pipeline(spark, sf_dir):
     assert by == total
     assert len({r.sequence_id for r in found}) == -(-sum(total.values()) // 4096)
     assert np.all([r.offset + r.length <= 4096 for r in found])
+
+
+# near copies in the pipeline
+
+
+def test_near_dedup_links_what_is_eight_tenths_alike(spark):
+    """Against brute force: chains of copies, repeated rows, rows without an id, texts without words."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    rows = list(enumerate(near_copies(3, 120)))
+    for k in range(15):
+        text = rng.choices(words, k=200)
+        for step in range(5):
+            rows.append((1000 + 10 * k + step, " ".join(text)))
+            for _ in range(3):
+                text[rng.randrange(200)] = rng.choice(words)
+    rows += [(3, rows[3][1]), (None, rows[5][1]), (None, "a b c d e f"), (None, "A b c d e f"), (7000, None), (7001, " \n")]
+    split = [(t or "").lower().split() for _, t in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in split]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 5 * len(x & y) >= 4 * len(x | y):
+                parent[find(i)] = find(j)
+    groups: dict = {}
+    for i, (doc_id, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append(doc_id)
+    want = sorted((min((i for i in ids if i is not None), default=None) for ids in groups.values()), key=repr)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = corpus_pipeline.near(spark, docs, "")
+    assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=repr) == want
