@@ -3,8 +3,9 @@
 A page is read once into text nodes, each with its root-to-leaf tag path (tag names with their class and id words). For each path the
 text length and the punctuation of its nodes are aggregated, a node whose text lies in links counting for nothing; both ratios (per node)
 are smoothed along the page with a Gaussian, fused into one score by their product, and paths that reach a share of the standard deviation
-of all scores are content paths. The nodes of content paths vote for the block that holds the article: the innermost element that has
-nearly all their score, or the article and main elements among them. All text of that block is the result, in page order, save what
+of all scores are content paths. The nodes of content paths name the block that holds the article: the innermost element that has all of
+them (a list, quote or table stands in the element around it), with the paragraphs and headings that stand beside it, or the article and
+main elements if nearly all of their text lies there. All text of that block is the result, in page order, save what
 stands in elements that are never part of an article (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, by tag,
 role, or class and id words), so short paragraphs and headings inside the article are kept whole.
 
@@ -44,6 +45,9 @@ AROUND = frozenset("""
 #: Those that may also name parts of an article inside one, and words that make a name one of the page's layout ("with-sidebar").
 OWN = frozenset("header masthead".split())
 LAYOUT = frozenset("with without has no".split())
+#: Elements that hold a part of an article, never a whole one, and those that belong to it where they stand beside it.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table caption tbody thead tfoot tr td th figure figcaption br hr".split())
+BESIDE = frozenset("p h1 h2 h3 h4 h5 h6".split())
 #: What an end tag or a start tag may close without saying so: tag -> (closed by its start, not looked for beyond).
 CLOSES = {
     "p": (frozenset({"p"}), frozenset("body article section div td th li blockquote main aside table button".split())),
@@ -196,23 +200,28 @@ def content_paths(nodes: list[tuple[Element, str]], scores: list[float]) -> set[
 
 def article_blocks(nodes: list[tuple[Element, str]], scores: list[float], chosen: set[str]) -> set[Element]:
     """The elements that hold the article."""
-    total, votes = 0.0, {}
+    total, votes, number, holds = 0.0, {}, 0, {}
     for (e, text), s in zip(nodes, scores):
         if s and e.path in chosen:
             weight = float(len(text))
             total += weight
+            number += 1
             while e:
                 votes[e] = votes.get(e, 0.0) + weight
+                holds[e] = holds.get(e, 0) + 1
                 e = e.parent
     marked = {e for e in votes if e.tag in ("article", "main") or e.article and not e.parent.article}
     outer = {e for e in marked if not any(p in marked for p in _above(e))}
-    if outer and sum(votes[e] for e in outer) >= (1 - MOST) * total:
+    if outer and sum(votes[e] for e in outer) >= MOST * total:
         return outer
-    block = [e for e in votes if votes[e] >= MOST * total and e.tag in BLOCKS]
-    deepest = max(block, key=lambda e: e.depth, default=None)
-    if deepest is not None and deepest.tag == "p" and deepest.parent is not None:
-        deepest = deepest.parent
-    return {deepest} if deepest is not None else {e for e in votes if e.parent is None}
+    block = max((e for e in votes if holds[e] == number), key=lambda e: e.depth, default=None)
+    if block is None:
+        return set()
+    while block.parent is not None and (block.tag not in BLOCKS or block.tag in PARTS):
+        block = block.parent
+    around = {block, *_above(block)}
+    beside = (x for e, _ in nodes for x in (e, *_above(e)) if x.tag in BESIDE and x.parent in around)
+    return {block, *beside}
 
 
 def _above(e: Element) -> Iterator[Element]:

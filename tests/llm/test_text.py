@@ -118,6 +118,22 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = " ".join(f"<p>Paragraph {i}: {ARTICLE * 4}</p>" for i in range(12))
+
+
+@pytest.mark.parametrize("part", ["<div class=section>{}</div>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<table><tr><td>{}</td></tr></table>"])
+def test_text_around_the_largest_part_stays(part):
+    page = f"<nav>no</nav><div id=content><h1>T</h1><p>Intro. {ARTICLE}</p>{part.format(LONG)}<p>Outro. {ARTICLE}</p></div><div class=sidebar><p>no</p></div>"
+    found = html_text.main_text(page)
+    assert found.startswith(f"T Intro. {ARTICLE} Paragraph 0:") and found.endswith(f"Outro. {ARTICLE}") and "no" not in found.split()
+
+
+def test_teaser_cards_replace_no_body():
+    cards = "".join(f"<article><p>Card {i}: {ARTICLE * 4}</p></article>" for i in range(4))
+    found = html_text.main_text(f"<div id=content><h1>T</h1>{LONG}</div><div>{cards}</div>")
+    assert all(f"Paragraph {i}:" in found for i in range(12))
+
+
 def test_pages(spark):
     page = f"<article><p>{ARTICLE}</p></article>"
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, page, "x"), (2, None, page, "x"), (3, "u", page * 3000, "x")], "page_id bigint, url string, html string, text string")
