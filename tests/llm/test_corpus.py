@@ -197,6 +197,58 @@ def test_compaction_runs_without_python(spark, docs):
     assert store.read().count() == docs.count()
 
 
+def test_an_overtaken_writer_loses_no_rows(spark, docs):
+    """A reads the last version, B appends twice and vacuums, A commits on what it has read."""
+    root = fresh_path(spark, "store")
+    a, b = (shards.ShardStore(spark, root, docs.schema) for _ in range(2))
+    a.append(docs.limit(1))
+    stale = a.last()
+    mine = a._write(docs.limit(3))
+    b.append(docs.limit(5))
+    b.append(docs.limit(7))
+    b.vacuum()
+    with pytest.raises(shards.Conflict):
+        a.commit(stale + 1, [mine])
+    assert b.last() == 3 and b.read().count() == 13
+    assert a._change([mine]) == 4
+    assert a.read().count() == b.read().count() == 16
+
+
+def test_an_open_reader_outlives_compaction(spark, docs):
+    store = shards.ShardStore(spark, fresh_path(spark, "store"), docs.schema, fanout=2)
+    store.append(docs.limit(10))
+    store.append(docs.limit(20))
+    version, reader = store.last(), store.read()
+    store.compact()
+    assert store.last() > version and len(store.runs()) == 1
+    assert reader.count() == store.read(version).count() == store.read().count() == 30
+    store.vacuum(keep=1, age_seconds=3600)
+    assert store.read(version).count() == 30  # too young to go
+    store.vacuum()
+    assert store.versions() == [store.last()] and store.read().count() == 30
+
+
+def test_vacuum_takes_what_lost_jobs_left_and_checkpoints_shorten_the_log(spark, docs, monkeypatch):
+    monkeypatch.setattr(shards, "CHECKPOINT_EVERY", 3)
+    store = shards.ShardStore(spark, fresh_path(spark, "store"), docs.schema, fanout=100)
+    lost = store._write(docs.limit(2))
+    for n in range(7):
+        store.append(docs.limit(n))
+    assert store.versions() == [1, 2, 3, 4, 5, 6, 7] and store._checkpoint() == 6
+    assert [store.read(v).count() for v in (1, 4, 7)] == [0, 6, 21]
+    store.vacuum(keep=2)
+    assert store.versions() == [6, 7] and store._files(lost.folder)
+    store.vacuum(keep=2, orphan_seconds=0)
+    assert store.read().count() == 21 and not store._fs.exists(store._path(lost.folder))
+
+
+def test_arrivals_are_appends_of_their_own_and_no_column_clashes(spark):
+    rows = spark.createDataFrame([(i, f"t{i}", i * 7) for i in range(40)] + [(None, "none", 1)], "doc_id bigint, text string, __arrival bigint")
+    store = shards.compacted(rows, fresh_path(spark, "store"), F.pmod("doc_id", F.lit(8)), 8, fanout=4)
+    assert store.last() >= 9 + 2  # eight arrivals, the row without one, merges between them
+    assert sorted(map(tuple, store.read().collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+
+
 # WARC
 
 
