@@ -2,8 +2,9 @@
 
 The digests of all documents (SHA-256 of the whole text) are written once. Misra-Gries summaries of fixed size, one a partition and
 merged pairwise by key, name every digest with more than 1/(counters+1) of all rows. One exact pass with map-side sums verifies the
-candidates: their counts and winners, at most `counters` rows of some 60 bytes, are broadcast, so the rows of frequent digests are
-settled where they are read. The other digests go through an ordinary shuffle, where no group holds more than 1/(counters+1) of the rows.
+candidates, and those that really are that frequent win: their counts and winners, at most `counters` rows of some 60 bytes, are broadcast, so
+their rows are settled where they are read. All other digests go through an ordinary shuffle, where no group holds more than 1/(counters+1) of
+the rows.
 
 Defined results: null text counts as empty and equals an empty text; of equal texts the row with the largest doc_id stays (null ids
 are smallest), of rows that also share the doc_id exactly one; a repeated row counts in group_size. An empty table gives an empty
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ids_and_text, materialize
+from .shared import ids_and_text, materialize, numbered
 
 COUNTERS = 1024
 MERGE_WAYS = 64
@@ -28,22 +29,11 @@ _SUMMARY = "digest binary, n bigint"
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, digest, rid): rid numbers the rows, so that repeated rows can be told apart. The ids come from the written table's own
     rows, so they stay the same when a task runs again."""
-    text = ids_and_text(docs, id_col, text_col)
-    return materialize(text.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.monotonically_increasing_id().alias("rid")), "digests")
+    return _digests(ids_and_text(docs, id_col, text_col).withColumn("rid", F.monotonically_increasing_id()))
 
 
-def _add(counts: dict, key, n: int, counters: int) -> None:
-    """One weighted Misra-Gries step."""
-    if key in counts or len(counts) < counters:
-        counts[key] = counts.get(key, 0) + n
-        return
-    least = min(n, min(counts.values()))
-    for k in [k for k, v in counts.items() if v == least]:
-        del counts[k]
-    for k in counts:
-        counts[k] -= least
-    if n > least:
-        counts[key] = n - least
+def _digests(text: DataFrame) -> DataFrame:
+    return materialize(text.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "rid"), "digests")
 
 
 def summarize(items: Iterator[tuple[bytes, int]], counters: int = COUNTERS) -> dict[bytes, int]:
@@ -81,31 +71,33 @@ def _batch(counts: dict[bytes, int]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["digest", "n"])
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256), a row for each row of docs."""
-    rows = digests(docs, id_col, text_col)
+def decided(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
+    """rows as digests() writes them -> with keep (doc_id, rid) and group_size."""
     totals = [F.max(F.struct("doc_id", "rid")).alias("keep"), F.count(F.lit(1)).alias("group_size")]
     candidates = heavy_candidates(rows, counters).select("digest")
-    winners = materialize(rows.join(F.broadcast(candidates), "digest").groupBy("digest").agg(*totals), "winners")
+    frequent = rows.count() / (counters + 1)
+    verified = rows.join(F.broadcast(candidates), "digest").groupBy("digest").agg(*totals)
+    winners = materialize(verified.where(F.col("group_size") > frequent), "winners")  # fewer than counters + 1
     settled = rows.join(F.broadcast(winners), "digest", "left")
     heavy = settled.where(F.col("keep").isNotNull())
     light = settled.where(F.col("keep").isNull()).select("doc_id", "digest", "rid")
-    sums = light.groupBy("digest").agg(*totals)
-    light = light.join(sums, "digest")
-    columns = [
+    return heavy.unionByName(light.join(light.groupBy("digest").agg(*totals), "digest"))
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256), a row for each row of docs."""
+    return decided(digests(docs, id_col, text_col), counters).select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
         F.col("group_size").cast("bigint").alias("group_size"),
         (F.col("rid") == F.col("keep.rid")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
-    ]
-    return heavy.select(*columns).unionByName(light.select(*columns))
+    )
 
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """docs without the rows that a row with a larger id repeats. Rows that share text and id are one document written twice and stay
-    together; rows with a null id are compared by text only and stay if the group has no id."""
-    decided = groups(docs, id_col, text_col, counters)
-    gone = decided.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("__gone"), F.col("text_sha256").alias("__sha"))
-    sha = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]) & (sha == gone["__sha"]), "left_anti")
+    """The rows of docs that groups() marks as kept, one of each text, with their columns as they are."""
+    rows, rid = numbered(docs)
+    text = rows.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(rid).alias("rid"))
+    kept = decided(_digests(text), counters).where(F.col("rid") == F.col("keep.rid"))
+    return rows.join(kept.select(F.col("rid").alias(rid)), rid, "left_semi").drop(rid)

@@ -42,6 +42,15 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """df written with a number for each row, under a column name that df doesn't have, and that name. The numbers are in the written table, so they stay
+    the same when a task runs again."""
+    name = "__rid"
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), null text as empty: whatever other columns docs has can't clash with an operator's own."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

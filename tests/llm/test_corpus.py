@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from skyweft.llm import components, exact_dedup, packing, quality_rules, queries, shards, simhash, warc
+from skyweft.llm import components, exact_dedup, packing, quality_rules, queries, shards, simhash, simhash_similar, warc
 from skyweft.llm.shared import fresh_path
 
 
@@ -142,6 +142,64 @@ def test_crowded_buckets_lose_no_link(spark, seed, flips):
     assert [label.get(i, i) for i in range(len(points))] == [least[r] for r in roots]
 
 
+def kept_rows(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+def test_stages_keep_one_of_repeated_rows_and_judge_texts_not_ids(spark):
+    """Rows that share an id are judged by their own texts, repeated rows leave one, rows without an id are rows like any other."""
+    a, b = "one two three four five six seven eight", "some other words that share nothing with it at all"
+    rows = [(5, a), (5, b), (3, a), (5, b), (None, "q"), (None, "q"), (8, "x y"), (8, "x y"), (None, "x y"), (2, None), (1, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    exact = [(5, a), (5, b), (None, "q"), (8, "x y"), (2, None)]
+    near = [(3, a), (5, b), (None, "q"), (8, "x y"), (1, "")]
+    assert kept_rows(exact_dedup.survivors(docs)) == sorted(exact, key=repr)
+    assert kept_rows(exact_dedup.survivors(docs, counters=2)) == sorted(exact, key=repr)
+    assert kept_rows(simhash.representatives(docs)) == sorted(near, key=repr)
+    assert kept_rows(simhash_similar.survivors(docs)) == sorted(near, key=repr)
+    clash = docs.withColumn("__rid", F.lit("mine"))
+    assert all({r["__rid"] for r in f.collect()} == {"mine"} for f in (exact_dedup.survivors(clash), simhash.representatives(clash), simhash_similar.survivors(clash)))
+
+
+def test_only_frequent_digests_are_broadcast(spark):
+    """One text has a third of the rows and the others a few each: the winners are those with over rows / (counters + 1), the others are shuffled."""
+    docs = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"t{i // 4}") for i in range(600)], "doc_id bigint, text string")
+    rows = exact_dedup.digests(docs)
+    assert exact_dedup.heavy_candidates(rows, 8).count() <= 8
+    plan = exact_dedup.decided(rows, 8)
+    assert plan.count() == 600 and {r.group_size for r in plan.collect()} <= {200, 1, 2, 3}
+    assert sorted(r.kept for r in exact_dedup.groups(docs, counters=8).collect()).count(True) == len({r.text for r in docs.collect()})
+
+
+@pytest.mark.parametrize("distance", [3, 24])
+def test_the_pivot_table_discards_exactly_by_the_largest_difference(spark, distance):
+    rng = random.Random(distance)
+    pairs = [(p, p ^ sum({1 << rng.randrange(64) for _ in range(rng.randint(0, 40))})) for p in (rng.getrandbits(64) for _ in range(300))]
+    pairs += [(0, 2**64 - 1), (0, 0)]
+    signed = lambda p: p - 2**64 if p >= 2**63 else p
+    refs = [r % 2**64 for r in simhash._references()]
+    far = [max(abs((p ^ r).bit_count() - (q ^ r).bit_count()) for r in refs) for p, q in pairs]
+    frame = spark.createDataFrame([(i, signed(p), signed(q)) for i, (p, q) in enumerate(pairs)], "i int, p bigint, q bigint")
+    x, y = (frame.select("i", *simhash.coordinates(F.col(c))).alias(a) for c, a in (("p", "x"), ("q", "y")))
+    both = x.join(y, "i").select("i", simhash.may_be_within({t: F.col(f"x.{t}") for t in simhash.TABLE}, {t: F.col(f"y.{t}") for t in simhash.TABLE}, distance).alias("may"))
+    assert {r.i: r.may for r in both.collect()} == {i: f <= distance for i, f in enumerate(far)}
+
+
+def test_a_crowd_that_agrees_in_30_bits_is_split(spark):
+    """Fingerprints that share one bucket and little else: all links are found, among them planted ones."""
+    rng = random.Random(9)
+    points = sorted({(rng.getrandbits(34) << 30) | 12345 for _ in range(1500)})
+    points = sorted({*points, *(p ^ (1 << 40) ^ (1 << 63) for p in points[::50])})
+    signed = [p - 2**64 if p >= 2**63 else p for p in points]
+    stars, between = simhash.links(spark.createDataFrame(list(zip(signed, range(len(points)))), "fp bigint, rep bigint"))
+    label = {r.v: r.root for r in components.components(stars.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(between)).collect()}
+    least: dict = {}
+    roots = slow_components(points)
+    for i, root in enumerate(roots):
+        least[root] = min(least.get(root, i), i)
+    assert [label.get(i, i) for i in range(len(points))] == [least[r] for r in roots]
+
+
 def test_keys_cover_all_pairs_at_any_size():
     assert [simhash.blocks_for(n, 3) for n in (1, 1000, 10**6, 10**9)] == sorted(simhash.blocks_for(n, 3) for n in (1, 1000, 10**6, 10**9))
 
