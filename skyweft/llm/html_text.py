@@ -1,18 +1,23 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read once into text nodes, each with its root-to-leaf tag path (tag names with their class and id words). For each path the
-text length and the punctuation of its nodes are aggregated, a node whose text lies in links counting for nothing; both ratios (per node)
-are smoothed along the page with a Gaussian, fused into one score by their product, and paths that reach a share of the standard deviation
-of all scores are content paths. The nodes of content paths name the block that holds the article: the innermost element that has all of
-them (a list, quote or table stands in the element around it), with the paragraphs and headings that stand beside it, or the article and
-main elements if nearly all of their text lies there. All text of that block is the result, in page order, save what
-stands in elements that are never part of an article (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, by tag,
-role, or class and id words), so short paragraphs and headings inside the article are kept whole.
+A page is read once into text nodes, each with its root-to-leaf tag path (tag names with their class and id words, roles and hiding). For each path
+the text length and the punctuation of its nodes are aggregated; both ratios (per node) are smoothed along the page with a Gaussian and fused
+into one score by their product. A path that lies in an element that is never part of an article (menus, headers, footers, sidebars, notices, adverts,
+forms, reader comments, by tag, role, or class and id words) has no score, nor has one inside a link. Paths that reach a share of the standard deviation
+of all scores are content paths, and their nodes are content.
+
+Short paragraphs, headings and links of an article score little, so the content nodes also name its block: the innermost element that has all of them (a
+list, quote or table stands in the element around it), with the paragraphs and headings that stand beside it, or the article and main elements if
+nearly all of their text lies there. In the block, nodes of weaker paths are content too, unless the path has no score for the reasons above, or is
+a menu without a name: mostly links, repeated, and outside of paragraphs, lists and tables.
+
+A mark on an element that holds the article is void: a form with most of the page's text in it, a named element around article or main, and any named
+element where nothing at all would be left otherwise.
 
 White space inside a block becomes one space, blocks are joined by one space. Character references are decoded as browsers do.
 
 Defined results: a null or empty page, or one without article text, gives "" and 0; rows are independent, so ties and repeated rows get
-equal texts; broken markup never fails (unclosed elements end with their parents, stray ends are ignored). An empty table gives an empty
+equal texts; broken markup never fails, however deep (unclosed elements end with their parents, stray ends are ignored). An empty table gives an empty
 result. Only the id, url and html columns are read, so other columns can't clash.
 """
 
@@ -31,16 +36,16 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-NEVER = frozenset("head nav aside form button select option input label fieldset footer menu dialog svg math canvas audio video object embed applet map".split())
+NEVER = frozenset("head nav aside button select option input label fieldset footer menu dialog svg math canvas audio video object embed applet map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
 #: Words of class and id names (split at -, _ and case) of what surrounds an article.
 AROUND = frozenset("""
     ad ads adv advert adverts advertisement advertisements advertising adsense adslot adbox adunit adcontainer adsbygoogle sponsor sponsored sponsors promo promos promotion promoted banner banners
     nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toc skip topbar toolbar
-    sidebar sidebars side aside rail widget widgets related recommended recommendations trending popular
+    sidebar sidebars aside widget widgets related recommended recommendations trending
     cookie cookies consent gdpr notice notices alert popup popups modal overlay newsletter subscribe subscription signup paywall
-    comment comments commentlist disqus reply replies respond responses discussion
-    share sharing social follow footer foot masthead header copyright login search form
+    comment comments commentlist disqus reply replies respond responses
+    share sharing social follow footer masthead header copyright login searchbox searchform searchbar
 """.split())
 #: Those that may also name parts of an article inside one, and words that make a name one of the page's layout ("with-sidebar").
 OWN = frozenset("header masthead".split())
@@ -69,20 +74,29 @@ NOT_SHOWN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？«»\"'()-]")
 SIGMA, SHARE, MOST = 1.0, 0.5, 0.8
+#: Share of the page's text from which a form isn't one, and what makes a path a menu: its share of links, and nodes.
+WRAPS, LINKS, REPEATS = 0.5, 0.8, 3
+#: Marks of elements: part of an article, void if it holds one, never part of one.
+FREE, NAMED, OUTSIDE = 0, 1, 2
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "never", "article", "link", "score", "depth")
-
-    def __init__(self, tag: str, parent: Element | None, names: tuple[str, ...] = (), hidden: bool = False):
-        self.tag, self.parent, self.score = tag, parent, 0.0
-        self.depth = parent.depth + 1 if parent else 0
-        self.path = f"{parent.path if parent else ''}/{tag}{''.join('.' + n for n in names)}"
-        self.article = bool(parent and parent.article) or tag in ("article", "main")
-        outer_header = tag == "header" and not self.article
+    __slots__ = ("tag", "path", "parent", "mark", "never", "article", "link", "inside")
+
+    def __init__(self, tag: str, parent: Element | None, paths: dict, names: tuple[str, ...] = (), hidden: bool = False, role: str = ""):
+        self.tag, self.parent = tag, parent
+        self.path = paths.setdefault((parent.path if parent else -1, tag, names, hidden, role), len(paths))
+        self.article = bool(parent and parent.article) or tag in ("article", "main") or role in ("main", "article")
         around = not any(n in LAYOUT for n in names) and any(n in AROUND and not (self.article and n in OWN) for n in names)
-        self.never = bool(parent and parent.never) or tag in NEVER or hidden or outer_header or tag not in ("body", "html", "main") and around
+        self.mark = FREE
+        if tag in NEVER or hidden:
+            self.mark = OUTSIDE
+        elif tag not in ("body", "html", "main") and (around or tag == "form" or tag == "header" and not self.article):
+            self.mark = NAMED
+        self.never = False
         self.link = bool(parent and parent.link) or tag == "a"
+        #: whether it stands in a paragraph, heading, list or table of its block
+        self.inside = tag in PARTS or bool(parent and parent.inside and tag not in BLOCKS)
 
 
 def _attributes(rest: str) -> tuple[tuple[str, ...], bool, str]:
@@ -103,13 +117,26 @@ def _attributes(rest: str) -> tuple[tuple[str, ...], bool, str]:
     return tuple(words), hidden, role
 
 
-def text_nodes(page: str) -> list[tuple[Element, str | None]]:
-    """The page's (element, text) in order; a text of None marks the edge of a block."""
-    root = Element("html", None)
-    stack, out, at = [root], [], 0
+def text_nodes(page: str) -> tuple[list[tuple[Element, str | None]], list[Element]]:
+    """The page's (element, text) in order, a text of None marks the edge of a block; and its elements, parents before children."""
+    paths: dict[tuple, int] = {}
+    root = Element("html", None, paths)
+    stack, out, every, at = [root], [], [root], 0
+    open_ = {"html": 1}  # how many elements of a tag are open
     folded = page.lower() if "<" in page else page
     if len(folded) != len(page):  # a few letters change their length
         folded = re.sub("[A-Z]", lambda m: m[0].lower(), page)
+
+    def cut(i: int) -> None:
+        for e in stack[i:]:
+            open_[e.tag] -= 1
+        del stack[i:]
+
+    def push(e: Element) -> None:
+        stack.append(e)
+        every.append(e)
+        open_[e.tag] = open_.get(e.tag, 0) + 1
+
     while m := MARKUP.search(page, at):
         if m.start() > at:
             out.append((stack[-1], page[at : m.start()]))
@@ -119,10 +146,8 @@ def text_nodes(page: str) -> list[tuple[Element, str | None]]:
             continue
         tag = tag.lower()
         if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if open_.get(tag) and tag != "html":
+                cut(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             if tag in BLOCKS:
                 out.append((stack[-1], None))
             continue
@@ -132,38 +157,58 @@ def text_nodes(page: str) -> list[tuple[Element, str | None]]:
             at = close + 1 if close >= 0 else len(page)
             continue
         if tag in ("html", "body"):
-            if tag == "body" and not any(e.tag == "body" for e in stack):
-                del stack[1:]
-                stack.append(Element("body", root))
+            if tag == "body" and not open_.get("body"):
+                cut(1)
+                push(Element("body", root, paths))
             continue
         if tag in BLOCKS:
             out.append((stack[-1], None))
-        _close_before(stack, tag)
+        for closed, limit in (CLOSES.get(tag, _NOTHING), CLOSES["p"] if tag in CLOSING_P else _NOTHING):
+            if any(open_.get(t) for t in closed):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag in closed:
+                        cut(i)
+                        break
+                    if stack[i].tag in limit:
+                        break
         if tag in VOID:
             continue
-        names, hidden, role = _attributes(m["rest"])
-        made = Element(tag, stack[-1], names, hidden)
-        made.article = made.article or role in ("main", "article")
         if not m["rest"].endswith("/") or tag not in ("svg", "path"):
-            stack.append(made)
+            push(Element(tag, stack[-1], paths, *_attributes(m["rest"])))
     if at < len(page):
         out.append((stack[-1], page[at:]))
-    return out
+    return out, every
+
+
+_NOTHING: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
 
 
-def _close_before(stack: list[Element], tag: str) -> None:
-    for closed, limit in (CLOSES.get(tag, (frozenset(), frozenset())), CLOSES["p"] if tag in CLOSING_P else (frozenset(), frozenset())):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in closed:
-                del stack[i:]
-                break
-            if not closed or stack[i].tag in limit:
-                break
+def judge(nodes: list[tuple[Element, str]], every: list[Element]) -> None:
+    """Sets never: whether an element, or one around it, is marked and the mark isn't void."""
+    size = dict.fromkeys(every, 0)
+    for e, text in nodes:
+        size[e] += len(text)
+    holds: set[Element] = set()  # elements around an article or main that has no mark of its own
+    for e in reversed(every):
+        if e.parent is not None:
+            size[e.parent] += 0 if e.mark == OUTSIDE else size[e]
+            if e in holds or e.tag in ("article", "main") and e.mark == FREE:
+                holds.add(e.parent)
+    void = {e for e in every if e.mark == NAMED and (e in holds or e.tag == "form" and size[e] >= WRAPS * size[every[0]])}
+    while True:
+        for e in every:
+            e.never = bool(e.parent and e.parent.never) or e.mark == OUTSIDE or e.mark == NAMED and e not in void
+        if any(not e.never and not e.link for e, _ in nodes):
+            return
+        named = [e for e in every if e.mark == NAMED and e not in void and not (e.parent and e.parent.never) and size[e]]
+        if not named:
+            return
+        void.add(max(named, key=size.get))
 
 
 def path_scores(nodes: list[tuple[Element, str]]) -> list[float]:
-    """A score for each text node: its path's smoothed text and punctuation per node, fused."""
-    sums: dict[str, list[float]] = {}
+    """A score for each text node: its path's smoothed text and punctuation per node, fused; 0 in links and in what is never part of an article."""
+    sums: dict[int, list[float]] = {}
     for e, text in nodes:
         s = sums.setdefault(e.path, [0, 0, 0])
         s[0] += 1
@@ -185,64 +230,83 @@ def path_scores(nodes: list[tuple[Element, str]]) -> list[float]:
     return [0.0 if e.never or e.link else x * (1 + y) for (e, _), x, y in zip(nodes, lengths, marks)]
 
 
-def content_paths(nodes: list[tuple[Element, str]], scores: list[float]) -> set[str]:
+def content_paths(nodes: list[tuple[Element, str]], scores: list[float]) -> set[int]:
     """The paths whose mean score reaches SHARE of the standard deviation of all nodes' scores (at least one, if any has a score)."""
     if not any(scores):
         return set()
     mean = sum(scores) / len(scores)
     deviation = math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
-    by_path: dict[str, list[float]] = {}
+    by_path: dict[int, list[float]] = {}
     for (e, _), s in zip(nodes, scores):
         by_path.setdefault(e.path, []).append(s)
     means = {p: sum(v) / len(v) for p, v in by_path.items()}
     return {p for p, v in means.items() if v > 0 and v >= min(SHARE * deviation, max(means.values()))}
 
 
-def article_blocks(nodes: list[tuple[Element, str]], scores: list[float], chosen: set[str]) -> set[Element]:
+def menu_paths(nodes: list[tuple[Element, str]], chosen: set[int]) -> set[int]:
+    """Paths of repeated links without a name: their text lies in links nearly all, and not in paragraphs, lists or tables."""
+    sums: dict[int, list[int]] = {}
+    for e, text in nodes:
+        around = e
+        while around.link and around.parent is not None and around.tag not in BLOCKS:
+            around = around.parent
+        s = sums.setdefault(around.path, [0, 0, 0])
+        s[0] += len(text.strip())
+        if e.link and not around.inside:
+            s[1] += len(text.strip())
+            s[2] += 1
+    found = {p for p, (size, links, n) in sums.items() if p not in chosen and n >= REPEATS and links >= LINKS * size}
+    return found
+
+
+def article_blocks(nodes: list[tuple[Element, str]], every: list[Element], scores: list[float], chosen: set[int]) -> set[Element]:
     """The elements that hold the article."""
-    total, votes, number, holds = 0.0, {}, 0, {}
+    votes, holds = dict.fromkeys(every, 0.0), dict.fromkeys(every, 0)
     for (e, text), s in zip(nodes, scores):
         if s and e.path in chosen:
-            weight = float(len(text))
-            total += weight
-            number += 1
-            while e:
-                votes[e] = votes.get(e, 0.0) + weight
-                holds[e] = holds.get(e, 0) + 1
-                e = e.parent
-    marked = {e for e in votes if e.tag in ("article", "main") or e.article and not e.parent.article}
-    outer = {e for e in marked if not any(p in marked for p in _above(e))}
+            votes[e] += len(text)
+            holds[e] += 1
+    depth = {}
+    for e in reversed(every):
+        if e.parent is not None:
+            votes[e.parent] += votes[e]
+            holds[e.parent] += holds[e]
+    for e in every:
+        depth[e] = depth[e.parent] + 1 if e.parent is not None else 0
+    total, number = votes[every[0]], holds[every[0]]
+    if not number:
+        return set()
+    outer = {e for e in every if e.article and not (e.parent and e.parent.article) and holds[e]}
     if outer and sum(votes[e] for e in outer) >= MOST * total:
         return outer
-    block = max((e for e in votes if holds[e] == number), key=lambda e: e.depth, default=None)
-    if block is None:
-        return set()
+    block = max((e for e in every if holds[e] == number), key=depth.get)
     while block.parent is not None and (block.tag not in BLOCKS or block.tag in PARTS):
         block = block.parent
-    around = {block, *_above(block)}
-    beside = (x for e, _ in nodes for x in (e, *_above(e)) if x.tag in BESIDE and x.parent in around)
-    return {block, *beside}
-
-
-def _above(e: Element) -> Iterator[Element]:
-    while e := e.parent:
-        yield e
+    above, around = block, {block}
+    while above.parent is not None:
+        above = above.parent
+        around.add(above)
+    return {block, *(e for e in every if e.tag in BESIDE and e.parent in around)}
 
 
 def main_text(page: str) -> str:
     """The text of the page's article."""
-    found = [(e, t if t is None else html.unescape(t)) for e, t in text_nodes(page)]
+    read, every = text_nodes(page)
+    found = [(e, t if t is None else html.unescape(t)) for e, t in read]
     nodes = [(e, t) for e, t in found if t is not None and t.strip()]
+    judge(nodes, every)
     scores = path_scores(nodes)
-    blocks = article_blocks(nodes, scores, content_paths(nodes, scores))
+    chosen = content_paths(nodes, scores)
+    blocks = article_blocks(nodes, every, scores, chosen)
+    menus = menu_paths(nodes, chosen)
+    kept: dict[Element, bool] = {}
     inside: dict[Element, bool] = {}
-
-    def kept(e: Element) -> bool:
-        if e not in inside:
-            inside[e] = not e.never and (e in blocks or e.parent is not None and kept(e.parent))
-        return inside[e]
-
-    return " ".join("".join(" " if t is None else t for e, t in found if t is None or kept(e)).split())
+    menu: dict[Element, bool] = {}
+    for e in every:
+        inside[e] = e in blocks or e.parent is not None and inside[e.parent]
+        menu[e] = e.path in menus or e.parent is not None and e.link and menu[e.parent]
+        kept[e] = inside[e] and (e.path in chosen or not e.never and not menu[e])
+    return " ".join("".join(" " if t is None else t for e, t in found if t is None or kept[e]).split())
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -149,6 +149,85 @@ def test_broken_markup_never_fails(page):
     html_text.main_text(page)
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<form><p>{ARTICLE}</p></form>", ARTICLE),
+        (f"<div class='side-by-side'><p>{ARTICLE}</p></div>", ARTICLE),
+        (f"<div class='search-results'><p>{ARTICLE}</p></div>", ARTICLE),
+        (f"<article><p>{ARTICLE}</p><section id=discussion><p>We discuss. {ARTICLE}</p></section></article>", f"{ARTICLE} We discuss. {ARTICLE}"),
+        (f"<form id=aspnet><nav>n</nav><div class=promo><main><p>{ARTICLE}</p></main></div></form>", ARTICLE),
+        (f"<div id=c><p>{ARTICLE}</p><p>b</p><div><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></div><p>See <a href=4>this</a>.</p></div>", f"{ARTICLE} b See this."),
+        ("<p>" + "<b>" * 20_000 + "deep", "deep"),
+    ],
+)
+def test_marks_that_hold_the_article_are_void(page, text):
+    assert html_text.main_text(page) == text
+
+
+def slow_path_scores(nodes):
+    """The definition, node by node: what path_scores() does with sums and kernels."""
+    out = []
+    weight = {d: np.exp(-(d * d) / (2 * html_text.SIGMA**2)) for d in (-2, -1, 0, 1, 2)}
+
+    def ratio(i, what):
+        same = [(e, t) for e, t in nodes if e.path == nodes[i][0].path]
+        return sum(what(t) for e, t in same if not e.link and not e.never) / len(same)
+
+    for i, (e, _) in enumerate(nodes):
+        near = [(w, i + d) for d, w in weight.items() if 0 <= i + d < len(nodes)]
+        length, marks = (sum(w * ratio(j, what) for w, j in near) / sum(w for w, _ in near) for what in (len, lambda t: len(html_text.PUNCTUATION.findall(t))))
+        out.append(0.0 if e.never or e.link else length * (1 + marks))
+    return out
+
+
+LAYOUTS = [
+    "<nav><ul>{nav}</ul></nav><article><h1>{title}</h1>{body}</article><footer>{foot}</footer>",
+    "<div id=nav>{nav}</div><div class=content><h1>{title}</h1>{body}</div><div class=sidebar><p>{ad}</p></div><div id=footer><p>{foot}</p></div>",
+    "<table><tr><td>{links}</td><td><h1>{title}</h1>{body}</td></tr></table>",
+    "<main><h1>{title}</h1>{body}<div class=comments><p>{ad}</p><p>{foot}</p></div></main><aside>{ad}</aside>",
+    "<form><div class=menu>{nav}</div><div><h1>{title}</h1>{body}</div><div class='ad-slot'>{ad}</div></form>",
+    "<div class=wrapper><div class='cookie-notice'><p>{ad}</p></div><section><h2>{title}</h2>{body}<div>{links}</div></section></div>",
+]
+
+
+def layouts(seed):
+    """(page, its article's text) in several layouts, some without any mark of the article."""
+    rng = random.Random(seed)
+    words = lambda n: " ".join(rng.choice(("lorem", "ipsum", "dolor,", "sit", "amet.", "&amp;", "a")) for _ in range(n))
+    link = lambda: f"<a href=x>{words(2)}</a>"
+    title, parts = words(4), [words(rng.randint(1, 60)) for _ in range(rng.randint(3, 14))] + [words(50)]
+    body = "".join(f"<p>{p}</p>" if rng.random() < 0.8 else f"<ul><li>{p}</li></ul>" for p in parts)
+    filled = {"nav": "".join(f"<li>{link()}</li>" for _ in range(5)), "links": " ".join(link() for _ in range(6)), "title": title, "body": body, "ad": words(12), "foot": "&copy; " + words(8)}
+    return [(x.format(**filled), " ".join([title, *parts]).replace("&amp;", "&")) for x in LAYOUTS]
+
+
+def test_precision_and_recall_over_labelled_layouts():
+    right = kept = wanted = 0
+    for seed in range(100):
+        for page, text in layouts(seed):
+            a, b = Counter(html_text.main_text(page).split()), Counter(text.split())
+            right, kept, wanted = right + (a & b).total(), kept + a.total(), wanted + b.total()
+    print(f"precision {right / kept:.4f}, recall {right / wanted:.4f}")
+    assert right / kept > 0.99 and right / wanted > 0.99
+
+
+def test_path_scores_follow_the_definition_and_select(spark, sf_dir, monkeypatch):
+    """All pages of the table: the article between its tags, read by a pattern; scores as defined; and without the paths' threshold results differ."""
+    pages = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    for page in pages:
+        inner = re.search("<article>(.*?)</article>", page, re.S)[1]
+        assert html_text.main_text(page) == " ".join(html_text.html.unescape(re.sub("<[^>]*>", " ", inner.replace("<b>", ""))).split())
+    for page in [*pages[:10], *(p for p, _ in layouts(1))]:
+        read, every = html_text.text_nodes(page)
+        nodes = [(e, t) for e, t in read if t and t.strip()]
+        html_text.judge(nodes, every)
+        assert html_text.path_scores(nodes) == pytest.approx(slow_path_scores(nodes))
+    before = [html_text.main_text(p) for p, _ in layouts(1)]
+    monkeypatch.setattr(html_text, "content_paths", lambda nodes, scores: {e.path for e, _ in nodes})
+    assert [html_text.main_text(p) for p, _ in layouts(1)] != before
+
+
 # pieces
 
 
