@@ -258,6 +258,25 @@ def test_matrices_combine_associatively(model):
     assert left == right and len(left) == 1
 
 
+SPACED = [*ODD, "     ", "in", "tion", "x" * 100, " " * 70]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(SPACED), max_size=40).map("".join), st.sampled_from((1, 3, 9, 64, 150)), st.integers(2, 5))
+def test_trees_of_any_shape_encode_as_the_library(model, text, chunk, fan):
+    assert sentence_pieces.encode_by_chunks(text, model, chunk, fan) == model.library.encode(text)
+
+
+@pytest.mark.parametrize("text", ["xyz" * 20_000, "".join(random.Random(3).choices("abcdefgh", k=60_001)), " " * 60_000 + "abc", "ab  " * 15_000, "  " + "etaoin" * 10_000], ids=["repeats", "random", "spaces", "pairs", "run"])
+def test_frames_stay_small_whatever_the_text(model, text):
+    """Texts without spaces, or of nothing else: what chunks see adds up to little more than the text, and ids are the library's."""
+    whole = sentence_pieces.marked(text)
+    spans = sentence_pieces.cuts(whole, 4096)
+    assert spans[0][0] == 0 and spans[-1][1] == len(whole) and all(b == c for (_, b), (c, _) in zip(spans, spans[1:]))
+    assert sum(len(sentence_pieces.frame(whole, a, b)[1]) for a, b in spans) <= len(whole) + 2 * sentence_pieces.REACH * len(spans)
+    assert sentence_pieces.encode_by_chunks(text, model, 4096, 4) == model.library.encode(text)
+
+
 def test_encode_decode_and_digests(spark, docs, model):
     encoded = sentence_pieces.encode(docs, PIECES, giant=3000, chunk=500)
     found = sorted(map(tuple, sentence_pieces.digests(docs, PIECES, giant=3000, chunk=500).collect()), key=repr)
