@@ -62,13 +62,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages as WARC records, and a second replica in which every 97th page's record has a wrong byte and every 389th is lost: each
-    record's length, digest and what the audit found."""
+    """All pages as WARC records, and a second replica in which every 97th page's record has a wrong byte and every 389th is lost, its places counted
+    from what it has: each record's length, digest and what the audit found."""
     first = warc.records(_table(spark, sf_dir, "pages"))
     wrong = F.when(F.pmod("page_id", F.lit(97)) == 5, F.overlay("record", F.encode(F.lit("X"), "UTF-8"), F.lit(1))).otherwise(F.col("record"))
-    second = first.where(F.coalesce(F.pmod("page_id", F.lit(389)) != 11, F.lit(True))).select("page_id", "file", "place", wrong.alias("record"))
+    second = first.where(F.coalesce(F.pmod("page_id", F.lit(389)) != 11, F.lit(True))).select("file", "place", wrong.alias("record"))
     leaves = warc.index(first)
-    found = warc.audit(warc.tree(leaves), warc.tree(warc.index(second)))
+    found = warc.audit(warc.tree(leaves), warc.tree(warc.index(second, renumber=True)))
     pages = first.select("page_id", "file", "place").join(leaves, warc.KEY)
     return pages.join(found.select(*warc.KEY, "status"), warc.KEY, "left").select("page_id", "length", F.col("hash").alias("record_sha256"), F.coalesce("status", F.lit("intact")).alias("status"))
 
@@ -102,9 +102,12 @@ ORACLES = {
         FROM b""",
     "op9_sharding": "SELECT doc_id, source, n_chars, sha256(text) AS text_sha256 FROM documents",
     "op10_warc_audit": r"""
-        WITH r AS (SELECT page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
-                   || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
-                   || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM pages)
+        WITH p AS (SELECT page_id, replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') AS url, coalesce(html, '') AS html FROM pages),
+        q AS (SELECT *, md5(coalesce(CAST(page_id AS VARCHAR), '') || ' ' || url || ' ' || html) AS m FROM p),
+        r AS (SELECT page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:uuid:' || m[1:8] || '-' || m[9:12] || '-' || m[13:16] || '-' || m[17:20] || '-' || m[21:32]
+                   || '>' || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
+                   || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html)
+                   || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM q)
         SELECT page_id, strlen(record)::BIGINT AS length, sha256(record) AS record_sha256,
                CASE WHEN page_id % 389 = 11 THEN 'missing' WHEN page_id % 97 = 5 THEN 'damaged' ELSE 'intact' END AS status
         FROM r""",

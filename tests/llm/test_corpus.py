@@ -351,6 +351,47 @@ def test_audit_finds_exactly_the_damage(spark, pages, fanout):
     assert warc.audit(same, list(same), fanout).count() == 0
 
 
+def test_a_replica_that_counts_its_own_places_loses_only_what_it_lost(spark, pages):
+    """One lost, one inserted and one longer record move all that follows, in a file of some hundred records."""
+    first = warc.records(pages.coalesce(1))
+    longer = F.when(F.col("place") == 300, F.concat("record", F.encode(F.lit("more"), "UTF-8"))).otherwise(F.col("record"))
+    second = first.where("place <> 40").select("file", F.col("place").cast("double").alias("place"), longer.alias("record"))
+    second = second.unionByName(spark.createDataFrame([(0, 99.5, b"WARC/1.0\r\nWARC-Record-ID: <urn:uuid:new>\r\n\r\n")], "file bigint, place double, record binary"))
+    ours, theirs = warc.index(first), warc.index(second, renumber=True)
+    assert {r.place for r in theirs.collect()} == set(range(first.count()))
+    found = warc.audit(warc.tree(ours, 4), warc.tree(theirs, 4), 4)
+    assert sorted((r.place, r.status) for r in found.collect()) == [(40, "missing"), (99, "surplus"), (300, "damaged")]
+    taller = warc.audit(warc.tree(ours, 4), warc.tree(theirs, 4, height=7), 4)
+    assert taller.count() == 3
+
+
+def test_a_descent_leaves_parts_out(spark, pages):
+    levels = warc.tree(warc.index(warc.records(pages.coalesce(1))), 4)
+    open_ = levels[1].rows.where("key <> 'end'").limit(1).select("file", F.col("key").alias("up"))
+    of = warc._of(levels[0], open_)
+    assert "PartitionFilters: [isnotnull(part" in of._jdf.queryExecution().executedPlan().toString() or "part#" in of._jdf.queryExecution().executedPlan().toString()
+    assert of.select("part").distinct().count() == 1 and of.count() < 60
+
+
+def test_bad_files_are_rows_with_an_error(spark, tmp_path, pages):
+    good = [bytes(r.record) for r in warc.records(pages.where("page_id < 3")).collect()]
+    bad = {"cut": good[0] + good[1][:-40], "junk": good[0] + b"not a record\r\n\r\n" + good[1], "length": good[0].replace(b"Content-Length", b"Content-Size") + good[1], "head": b"WARC/1.0\r\nContent-Length: 1", "none": b"", "gz": gzip.compress(good[0])[:-20]}
+    for name, data in bad.items():
+        (tmp_path / name).write_bytes(data)
+    got: dict = {}
+    for r in warc.read_files(spark, str(tmp_path), batch_bytes=10).collect():
+        got.setdefault(r.path.rpartition("/")[2], []).append((r.offset, r.error is None))
+    at = len(good[0])
+    assert sorted(got["cut"]) == [(0, True), (at, False)] and sorted(got["junk"]) == [(0, True), (at, False), (at + 16, True)]
+    assert [ok for _, ok in sorted(got["length"])] == [False, True] and got["head"] == [(0, False)] and "none" not in got
+    for piece in (1, 7, 1 << 20):
+        whole = list(warc.parse(b"".join(good), piece))
+        assert [x[1] for x in whole] == [len(g) for g in good] and all("warc-date" in x[2] and x[2]["warc-record-id"].startswith("<urn:uuid:") for x in whole)
+    breaks = spark.createDataFrame([(1, "http://h/\r\nX: y", "p")], "page_id bigint, url string, html string")
+    ((_, _, headers, block),) = warc.parse(bytes(warc.records(breaks).first().record))
+    assert headers["warc-target-uri"] == "http://h/%0D%0AX: y" and "x" not in headers and block == b"p"
+
+
 def test_empty_replicas_agree(spark, pages):
     none = warc.tree(warc.index(warc.records(pages.limit(0))))
     assert warc.audit(none, list(none)).count() == 0
