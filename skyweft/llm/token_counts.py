@@ -1,12 +1,15 @@
 """Token counts with overlap resynchronisation for huge documents.
 
 Texts of up to `chunk` code points are encoded whole, in Arrow batches. A longer text is cut at special strings (as the library does before
-anything else) and its plain stretches into chunks that overlap by `overlap` code points; the chunks are dealt out over the cluster and
-each is encoded with offsets. Two neighbours are spliced at a place where both have a pre-token boundary and where the left chunk's
-boundary is proven: the byte-level pre-tokenizer scans from left to right and looks at most LOOKAHEAD code points past a match, so a
-pre-token that ends that far before the chunk's own end is one of the whole text if the one before it was. Equal boundaries then mean
-equal scans from there on, so tokens left of the place count in the left chunk and the others in the right one. Where the overlap has no
-common boundary, the stretch is encoded again with overlaps of WIDEN times the length, at most until each chunk reaches the stretch's end.
+anything else) and its plain stretches into chunks, which are dealt out over the cluster. Each chunk is encoded with offsets, `overlap` code points into
+its right neighbour, and so are the neighbour's first ones. The two are spliced at a place where both have a pre-token boundary that is proven: the
+byte-level pre-tokenizer scans from left to right and looks at most LOOKAHEAD code points past a match, so a pre-token that ends that far before the
+end of what was encoded is one of the whole text if the one before it was. Equal boundaries then mean equal scans from there on, so tokens left of the
+place count in the left chunk and the others in the right one: a chunk adds its tokens before the place and takes off the neighbour's.
+
+A chunk whose right seam has no common boundary is encoded again, alone, with an overlap of WIDEN times the length; from a quarter of a chunk on it is
+joined with its neighbour instead, and all neighbours in a row whose seams are open become one chunk at once. So a text that is one pre-token is
+encoded a few times as a whole, not once for every chunk.
 
 Defined results: null text is empty (0 bytes, 0 tokens); rows are independent, so ties and repeated rows get equal counts; an empty table
 gives an empty result. Only id and text are read, so other columns can't clash.
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import ids_and_text, materialize
@@ -54,75 +57,102 @@ def boundaries(text: str, tokenizer) -> tuple[np.ndarray, np.ndarray]:
     return np.array(made.offsets, np.int64).reshape(-1, 2)[last, 1], last + 1
 
 
-def cuts(length: int, chunk: int, overlap: int) -> list[tuple[int, int]]:
-    """The (start, end) of a stretch's chunks."""
-    return [(a, min(length, a + chunk + overlap)) for a in range(0, max(1, length), chunk)]
-
-
-def zones(body: str, a: int, b: int, whole: int, chunk: int, overlap: int, tokenizer) -> tuple:
-    """Of the chunk body = stretch[a:b], whose stretch has `whole` code points: (tokens, boundaries a left neighbour may share and the tokens
-    up to each, proven boundaries a right neighbour may share and the tokens up to each). The stretch's own end needs no proof."""
-    ends, counts = boundaries(body, tokenizer)
-    total, ends = int(counts[-1]) if len(counts) else 0, ends + a
-    head = (ends <= a + overlap) | (ends == whole)
-    tail = (ends > a + chunk) & ((ends <= b - LOOKAHEAD) | (ends == whole))
-    return total, *(x[zone].tolist() for zone in (head, tail) for x in (ends, counts))
-
-
-def splice(head: tuple[list[int], list[int]], tail: tuple[list[int], list[int]]) -> tuple[int, int] | None:
-    """(tokens of the left chunk, tokens of the right chunk) before the first boundary that the left one's tail and the right one's head share."""
-    known = dict(zip(*head))
-    return next(((n, known[e]) for e, n in zip(*tail) if e in known), None)
+def splice(left: str, head: str, start: int, end: int, size: int, tokenizer) -> tuple[int, int] | None:
+    """(tokens of the left chunk, tokens of its neighbour) before the first boundary behind `end`, or at it, that both have; None if there is none.
+    left: the stretch, of `size` code points, from the chunk's start on over its end; head: the stretch from its end on, where the neighbour starts."""
+    ends, counts = boundaries(left, tokenizer)
+    ends = ends + start
+    if end >= size:
+        return (int(counts[-1]) if len(counts) else 0), 0
+    proven = lambda places, stop: (places <= stop - LOOKAHEAD) | (places == size)
+    tail = (ends >= end) & proven(ends, start + len(left))
+    right, before = boundaries(head, tokenizer)
+    right = right + end
+    known = {end: 0} | {p: n for p, n, ok in zip(right.tolist(), before.tolist(), proven(right, end + len(head)).tolist()) if ok}
+    return next(((n, known[p]) for p, n in zip(ends[tail].tolist(), counts[tail].tolist()) if p in known), None)
+
+
+def bodies(body: str, start: int, end: int, overlap: int) -> tuple[str, str]:
+    """What splice() must see of a stretch."""
+    return body[start : end + overlap + LOOKAHEAD], body[end : end + overlap + LOOKAHEAD]
+
+
+def joined(parts: list[tuple[int, int, int, bool]], chunk: int, overlap: int) -> list[tuple[int, int, int]]:
+    """The chunks (start, end, overlap) to encode next, of a stretch's chunks (start, end, overlap, whether its seam is open) in order."""
+    out, at = [], 0
+    while at < len(parts):
+        start, end, wide, open_ = parts[at]
+        at += 1
+        if not open_:
+            continue
+        if WIDEN * wide <= max(overlap, chunk // 4):
+            out.append((start, end, WIDEN * wide))
+            continue
+        while open_ and at < len(parts):
+            _, end, wide, open_ = parts[at]
+            at += 1
+        out.append((start, end, overlap))
+    return out
 
 
 def count_by_chunks(text: str, tokenizer, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """The count of one text in memory, by the same cuts, zones and splices."""
+    """The count of one text in memory, by the same chunks and splices."""
     n, plain = stretches(text, tokenizer)
     for a, b in plain:
-        body, wide, total = text[a:b], overlap, None
-        while total is None:
-            parts = [zones(body[x:y], x, y, b - a, chunk, wide, tokenizer) for x, y in cuts(b - a, chunk, wide)]
-            seams = [splice(r[1:3], left[3:5]) for left, r in zip(parts, parts[1:])]
-            if all(seams):
-                total = sum(p[0] for p in parts) - sum(left[0] - cut[0] + cut[1] for left, cut in zip(parts, seams))
-            wide *= WIDEN
-        n += total
+        body, todo, found = text[a:b], [(x, min(x + chunk, b - a), overlap) for x in range(0, b - a, chunk)], {}
+        while todo:
+            for x, y, wide in todo:
+                found = {k: v for k, v in found.items() if not x <= k[0] < y} | {(x, y): (wide, splice(*bodies(body, x, y, wide), x, y, b - a, tokenizer))}
+            todo = joined([(*k, wide, made is None) for k, (wide, made) in sorted(found.items())], chunk, overlap)
+        n += sum(made[0] - made[1] for _, made in found.values())
     return n
 
 
-_ZONES = "rid bigint, s int, k int, last boolean, total bigint, head array<int>, head_n array<int>, tail array<int>, tail_n array<int>"
+_PARTS = "rid bigint, s int, start int, end int, overlap int, tokens bigint"
 
 
-def _seams(huge: DataFrame, tokenizer: str, chunk: int, overlap: int) -> DataFrame:
-    """(rid, s, total, open): tokens of each stretch, and how many of its seams found no common boundary."""
+def _encode(parts: DataFrame, huge: DataFrame, tokenizer: str) -> DataFrame:
+    """parts (rid, s, start, end, overlap) -> with tokens: what the chunk adds to its stretch's count, NULL where its seam is open."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                size = len(row["body"])
-                for k, (a, b) in enumerate(cuts(size, chunk, overlap)):
-                    yield pa.RecordBatch.from_pylist([{"rid": row["rid"], "s": row["s"], "k": k, "a": a, "b": b, "size": size, "body": row["body"][a:b]}], _CHUNKS)
+                for at in range(0, len(row["parts"]), BATCH // 4):
+                    made = [{**p, "rid": row["rid"], "s": row["s"], "size": len(row["body"])} for p in row["parts"][at : at + BATCH // 4]]
+                    for p in made:
+                        p["left"], p["head"] = bodies(row["body"], p["start"], p["end"], p["overlap"])
+                    yield pa.RecordBatch.from_pylist(made, _BODIES)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = load_tokenizer(tokenizer)
         for batch in batches:
-            for r in batch.to_pylist():
-                made = zones(r["body"], r["a"], r["b"], r["size"], chunk, overlap, library)
-                yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, (r["rid"], r["s"], r["k"], r["a"] + chunk >= r["size"], *made)))], _OUT)
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                made = splice(r["left"], r["head"], r["start"], r["end"], r["size"], library)
+                yield pa.RecordBatch.from_pylist([{**{c: r[c] for c in ("rid", "s", "start", "end", "overlap")}, "tokens": made and made[0] - made[1]}], _COUNTS)
+
+    asked = parts.groupBy("rid", "s").agg(F.collect_list(F.struct("start", "end", "overlap")).alias("parts"))  # a few numbers a chunk
+    dealt = huge.select("rid", "s", "body").join(asked, ["rid", "s"]).select("rid", "s", "body", "parts")
+    dealt = dealt.mapInArrow(cut, "rid bigint, s int, start int, end int, overlap int, size int, left string, head string")
+    return dealt.repartition("rid", "s", "start").mapInArrow(encode, _PARTS)
 
-    dealt = huge.select("rid", "s", "body").mapInArrow(cut, "rid bigint, s int, k int, a int, b int, size int, body string")
-    made = dealt.repartition("rid", "s", "k").mapInArrow(encode, _ZONES)
-    after = Window.partitionBy("rid", "s").orderBy("k")
-    shared = F.array_intersect("tail", F.lead("head").over(after))
-    paired = made.select("rid", "s", "last", "total", "tail", "tail_n", F.lead("head").over(after).alias("head"), F.lead("head_n").over(after).alias("head_n"), F.get(shared, 0).alias("place"))
-    of = lambda place, count: F.element_at(F.col(count), F.array_position(F.col(place), F.col("place")).cast("int"))
-    kept = F.when(F.col("last"), F.col("total")).otherwise(of("tail", "tail_n") - of("head", "head_n"))
-    return paired.groupBy("rid", "s").agg(F.sum(kept).cast("bigint").alias("total"), F.count_if(~F.col("last") & F.col("place").isNull()).alias("open"))
 
+_BODIES = pa.schema([("rid", pa.int64()), *((x, pa.int32()) for x in ("s", "start", "end", "overlap", "size")), ("left", pa.string()), ("head", pa.string())])
+_COUNTS = pa.schema([("rid", pa.int64()), *((x, pa.int32()) for x in ("s", "start", "end", "overlap")), ("tokens", pa.int64())])
+
+
+def _join(parts: DataFrame, chunk: int, overlap: int) -> DataFrame:
+    """The chunks to encode next, of all of those stretches that have open seams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = joined([(p["start"], p["end"], p["overlap"], p["tokens"] is None) for p in row["parts"]], chunk, overlap)
+                made = [{"rid": row["rid"], "s": row["s"], "start": x, "end": y, "overlap": w} for x, y, w in found]
+                yield pa.RecordBatch.from_pylist(made, pa.schema(list(_COUNTS)[:5]))
 
-_CHUNKS = pa.schema([("rid", pa.int64()), ("s", pa.int32()), ("k", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("size", pa.int32()), ("body", pa.string())])
-_NAMES = ("rid", "s", "k", "last", "total", "head", "head_n", "tail", "tail_n")
-_OUT = pa.schema([("rid", pa.int64()), ("s", pa.int32()), ("k", pa.int32()), ("last", pa.bool_()), ("total", pa.int64()), *((x, pa.list_(pa.int32())) for x in _NAMES[5:])])
+    all_ = parts.groupBy("rid", "s").agg(F.array_sort(F.collect_list(F.struct("start", "end", "overlap", "tokens"))).alias("parts"), F.count_if(F.col("tokens").isNull()).alias("open"))
+    return all_.where("open > 0").select("rid", "s", "parts").mapInArrow(run, "rid bigint, s int, start int, end int, overlap int")
 
 
 def _whole(text: DataFrame, tokenizer: str) -> DataFrame:
@@ -156,16 +186,16 @@ def _huge(text: DataFrame, tokenizer: str, chunk: int, overlap: int) -> DataFram
 
     kind = text.schema["doc_id"].dataType.simpleString()
     huge = materialize(numbered.mapInArrow(cut, f"rid bigint, doc_id {kind}, n_bytes bigint, specials bigint, s int, body string"), "stretches")
-    open_, done = huge, None
-    while True:
-        seams = materialize(_seams(open_, tokenizer, chunk, overlap), "seams")
-        closed = seams.where("open = 0").select("rid", "s", "total")
-        done = closed if done is None else done.unionByName(closed)
-        if seams.where("open > 0").isEmpty():
-            break
-        overlap *= WIDEN
-        open_ = huge.join(seams.where("open > 0").select("rid", "s"), ["rid", "s"], "left_semi")
-    whole = huge.select("rid", "s", "doc_id", "n_bytes", "specials").join(done, ["rid", "s"])
+    starts = F.explode(F.sequence(F.lit(0), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(chunk))).alias("start")
+    todo = huge.select("rid", "s", F.length("body").alias("size")).select("rid", "s", "size", starts)
+    todo = todo.select("rid", "s", "start", F.least(F.col("start") + chunk, "size").alias("end"), F.lit(overlap).alias("overlap"))
+    parts = materialize(_encode(todo, huge, tokenizer), "parts")
+    while not parts.where("tokens IS NULL").isEmpty():
+        todo = materialize(_join(parts, chunk, overlap), "open")
+        gone = todo.select("rid", "s", F.col("start").alias("from"), F.col("end").alias("to"))
+        inside = (parts["rid"] == gone["rid"]) & (parts["s"] == gone["s"]) & (parts["start"] >= gone["from"]) & (parts["start"] < gone["to"])
+        parts = materialize(parts.join(gone, inside, "left_anti").unionByName(_encode(todo, huge, tokenizer)), "parts")
+    whole = huge.select("rid", "s", "doc_id", "n_bytes", "specials").join(parts.groupBy("rid", "s").agg(F.sum("tokens").alias("total")), ["rid", "s"])
     return whole.groupBy("rid", "doc_id", "n_bytes").agg((F.sum("specials") + F.sum("total")).cast("bigint").alias("n_tokens")).drop("rid")
 
 
