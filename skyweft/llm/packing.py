@@ -2,12 +2,13 @@
 
 1. Arrow batches of texts become pieces: token ids, an end id, cut only where a document exceeds a sequence. A piece's ids are little-endian
    uint32 in one binary value. The pieces are written once to the shared folder.
-2. Only the histogram of piece lengths (at most `capacity` rows, whatever the corpus) reaches the driver. Minimum bin slack plans on it: a bin
-   takes the longest length left, and a bitset subset-sum dynamic program over the lengths still available finds the fullest combination
-   for the rest; that combination is removed, as often at once as the histogram holds it.
+2. Only the histogram of piece lengths (at most `capacity` rows, whatever the corpus) reaches the driver. A piece that fills a sequence is one.
+   For the others minimum bin slack plans on the histogram: a bin takes the longest length left, and a bitset subset-sum dynamic program over the lengths
+   still available finds the fullest combination for the rest; that combination is removed, as often at once as the histogram holds it.
 3. The plan is a table of rank ranges: "pieces of this length with these ranks go to those sequences at that offset". It has at most a few
-   rows a bin pattern and is broadcast. Ranks come from a window over (length, salt), so that a length that a third of all pieces share is
-   ranked by `SALTS` tasks.
+   rows a bin pattern. Ranks come from a window over (length, salt), with salts in proportion to a length's number, so that a length that a third
+   of all pieces share is ranked by as many tasks as its share asks for. Where each salt's ranks start is a table of at most capacity + STARTS rows.
+   Both tables are broadcast, the plan only up to PLAN_ROWS.
 
 Defined results: null text is empty and gives one piece with the end id alone; repeated rows and repeated ids give pieces of their own;
 an empty table gives an empty result. Only id and text are read, so other columns can't clash; `pack()` carries what pieces() made.
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from .shared import ids_and_text, materialize
 from .tokenizing import load_tokenizer, release
 
-CAPACITY, END_ID, SALTS = 4096, 1, 64
+CAPACITY, END_ID = 4096, 1
+#: Pieces a salt at least, salts of all lengths together at most, and rows of a plan that is broadcast.
+SALT_ROWS, STARTS, PLAN_ROWS = 65_536, 65_536, 500_000
 #: Units whose ids a worker keeps (in each of two generations), and pieces an Arrow batch returns at most.
 CACHED_UNITS, BATCH = 400_000, 2048
 
@@ -168,37 +171,49 @@ def plan_rows(plan: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple]:
     return rows
 
 
+def salts(histogram: dict[int, int]) -> dict[int, int]:
+    """How many salts each length gets: at most STARTS and one a length."""
+    each = max(SALT_ROWS, -(-sum(histogram.values()) // STARTS))
+    return {k: -(-n // each) for k, n in histogram.items()}
+
+
 def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """made (a written table with doc_id, piece, length and more columns) -> with sequence_id and offset."""
-    spark = made.sparkSession
-    counts = made.groupBy("length").count()
-    rows = plan_rows(minimum_bin_slack({r[0]: r[1] for r in counts.collect()}, capacity))  # at most `capacity` lengths
+    """made (a written table with rid, a number of the row, doc_id, piece, length and more columns) -> with sequence_id and offset, without rid."""
+    spark, kept = made.sparkSession, [c for c in made.columns if c != "rid"]
+    histogram = {r[0]: r[1] for r in made.groupBy("length").count().collect()}  # at most `capacity` lengths
+    whole = made.where(F.col("length") == capacity)  # a sequence each, so their own numbers name them
+    alone = whole.select(*kept, (-1 - F.col("rid")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    histogram.pop(capacity, None)
+    rows = plan_rows(minimum_bin_slack(histogram, capacity))
     table = spark.createDataFrame(rows, "length bigint, first_rank bigint, end_rank bigint, per_bin bigint, first_sequence bigint, base bigint")
-    salted = made.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)))
+    shares = spark.createDataFrame(list(salts(histogram).items()), "length bigint, salts bigint")
+    salted = made.where(F.col("length") < capacity).join(F.broadcast(shares), "length").withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("salts"))).drop("salts")
     by_salt = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")
-    starts = by_salt.select("length", "salt", before.alias("before"))  # at most capacity * SALTS rows
-    local = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1
+    starts = by_salt.select("length", "salt", before.alias("before"))  # as many as there are salts
+    local = F.row_number().over(Window.partitionBy("length", "salt").orderBy("rid")) - 1
     ranked = salted.withColumn("local", local).join(F.broadcast(starts), ["length", "salt"]).withColumn("rank", F.col("before") + F.col("local"))
-    m, t = ranked.alias("m"), F.broadcast(table).alias("t")
+    m, t = ranked.alias("m"), (F.broadcast(table) if len(rows) <= PLAN_ROWS else table).alias("t")
     found = m.join(t, (F.col("m.length") == F.col("t.length")) & (F.col("m.rank") >= F.col("t.first_rank")) & (F.col("m.rank") < F.col("t.end_rank")))
     nth = F.col("m.rank") - F.col("t.first_rank")
-    return found.select(
-        *(F.col(f"m.{c}") for c in made.columns),
+    planned = found.select(
+        *(F.col(f"m.{c}") for c in kept),
         (F.col("t.first_sequence") + F.floor(nth / F.col("t.per_bin"))).cast("bigint").alias("sequence_id"),
         (F.col("t.base") + (nth % F.col("t.per_bin")) * F.col("m.length")).cast("bigint").alias("offset"),
     )
+    return planned.unionByName(alone)
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces of all texts with their ids and places."""
-    return pack(materialize(pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pieces"), capacity)
+    made = pieces(docs, tokenizer, capacity, end_id, id_col, text_col)
+    return pack(materialize(made.withColumn("rid", F.monotonically_increasing_id()), "pieces"), capacity)
 
 
 def packed_digests(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """packed_documents() with a CRC-32 of each piece's ids in their place; the ids themselves are read once and not shuffled."""
-    written = materialize(pieces(docs, tokenizer, capacity, end_id), "pieces")
-    return pack(written.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)
+    """packed_documents() with a CRC-32 of each piece's ids in their place, taken as the ids are made: only the digests are written."""
+    made = pieces(docs, tokenizer, capacity, end_id).withColumn("rid", F.monotonically_increasing_id())
+    return pack(materialize(made.select("rid", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
