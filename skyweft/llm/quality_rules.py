@@ -51,15 +51,16 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def _repeat_words(words: Column) -> Column:
-    """How many words lie in 3-word windows that the text has twice or more. Windows are hashed to 64 bits and sorted with their
-    places; equal neighbours are repeats, and each repeated place covers what the one before it hasn't."""
+    """How many words lie in 3-word windows that the text has twice or more. Windows are sorted by a 64-bit hash, then by their words, then by
+    their places; neighbours of equal words are repeats, and each repeated place covers what the one before it hasn't."""
     windows = F.transform(
         F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0))),
-        lambda w, i: F.struct(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("p")),
+        lambda w, i: F.struct(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), w.alias("a"), F.get(words, i + 1).alias("b"), F.get(words, i + 2).alias("c"), i.alias("p")),
     )
 
     def places(s: Column) -> Column:
-        same = lambda e, i: F.coalesce(F.get(s, i - 1)["h"] == e["h"], F.lit(False)) | F.coalesce(F.get(s, i + 1)["h"] == e["h"], F.lit(False))
+        equal = lambda x, e: (x["h"] == e["h"]) & (x["a"] == e["a"]) & (x["b"] == e["b"]) & (x["c"] == e["c"])
+        same = lambda e, i: F.coalesce(equal(F.get(s, i - 1), e), F.lit(False)) | F.coalesce(equal(F.get(s, i + 1), e), F.lit(False))
         return F.sort_array(F.transform(F.filter(s, same), lambda e: e["p"]))
 
     start = F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last"))
