@@ -84,7 +84,16 @@ def slow_fingerprint(text, width=3):
     return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
 
 
+def slow_shingles(text, width=5):
+    words = text.lower().split()
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
 def slow_components(points, distance=3):
+    return slow_links(points, lambda x, y: (x ^ y).bit_count() <= distance)
+
+
+def slow_links(points, linked):
     parent = list(range(len(points)))
 
     def find(i):
@@ -95,7 +104,7 @@ def slow_components(points, distance=3):
 
     for i in range(len(points)):
         for j in range(i):
-            if (points[i] ^ points[j]).bit_count() <= distance:
+            if linked(points[i], points[j]):
                 parent[find(i)] = find(j)
     return [find(i) for i in range(len(points))]
 
@@ -421,14 +430,26 @@ def test_queries_without_sql_give_a_row_each(spark, sf_dir, name):
     assert found.select(column).distinct().count() == source.select(column).distinct().count() + (name == "op1_chat_formatting")
 
 
+def test_three_bits_over_the_table(spark, sf_dir):
+    """The operator's own rule over the documents of the table: fingerprints of 3-word shingles within 3 bits."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id IS NOT NULL").select("doc_id", "text")
+    rows = sorted((r.doc_id, r.text or "") for r in docs.collect())
+    first: dict = {}
+    for (i, _), root in zip(rows, slow_components([slow_fingerprint(t) for _, t in rows])):
+        first[root] = min(first.get(root, i), i)
+    assert {r.doc_id for r in simhash.representatives(docs).collect()} == set(first.values())
+
+
 def test_pipeline(spark, sf_dir):
+    """The stages by brute force. Near-duplicates in a stage are five-word shingle sets of a Jaccard similarity of 0.8 or more; the three bits of the
+    operator's own query have a test of their own above."""
     rows = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     good = {r.doc_id for r in quality_rules.measured(frame).where("kept").collect()}
     rows = [r for r in rows if r[0] in good]
     last = {t: max(i for i, x in rows if x == t) for _, t in rows}
     rows = sorted((i, t) for i, t in rows if last[t] == i)
-    roots = slow_components([slow_fingerprint(t) for _, t in rows])
+    roots = slow_links([slow_shingles(t) for _, t in rows], lambda x, y: 5 * len(x & y) >= 4 * len(x | y))
     first: dict = {}
     for (i, _), root in zip(rows, roots):
         first[root] = min(first.get(root, i), i)
