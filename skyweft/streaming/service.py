@@ -9,36 +9,60 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+from ..commits import create_once, read_text
+
 
 class CycleLock:
-    """A file that only one process can create; the loser skips its cycle. A lock left behind by a lost process is taken over after its lease."""
+    """A lock over processes; who doesn't get it skips its cycle. A folder holds its generations: who creates the next one, which only one can, holds the lock
+    until it is released or its lease has run out; then anyone may create the next. Nobody takes away another's file."""
 
     def __init__(self, spark: SparkSession, path: str, lease_seconds: float = 1800):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        self._fs = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
-        self.lease_seconds, self.held, self.owner = lease_seconds, False, uuid.uuid4().hex
+        self.spark, self.path, self.lease_seconds = spark, path.rstrip("/"), lease_seconds
+        self._hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._hadoop(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.owner, self.generation = uuid.uuid4().hex, 0
+
+    def _files(self) -> dict[str, float]:
+        folder = self._hadoop(self.path)
+        if not self._fs.exists(folder):
+            return {}
+        return {f.getPath().getName(): f.getModificationTime() / 1000 for f in self._fs.listStatus(folder)}
+
+    def _last(self, files: dict[str, float]) -> int:
+        return max((int(n) for n in files if n.isdigit()), default=0)
 
     def __enter__(self) -> bool:
-        self.held = self._take()
-        if not self.held and self._fs.exists(self._path) and time.time() - self._fs.getFileStatus(self._path).getModificationTime() / 1000 > self.lease_seconds:
-            self._fs.delete(self._path, False)
-            self.held = self._take()
-        return self.held
-
-    def _take(self) -> bool:
-        try:
-            out = self._fs.create(self._path, False)
-        except Exception as e:
-            if "AlreadyExists" in str(e) or "already exists" in str(e):
-                return False
-            raise
-        out.write(bytearray(self.owner.encode()))
-        out.close()
+        files = self._files()
+        last = self._last(files)
+        alive = max((t for n, t in files.items() if n in (str(last), f"{last}.alive")), default=0.0)
+        if last and f"{last}.released" not in files and time.time() - alive <= self.lease_seconds:
+            return False
+        if not create_once(self.spark, f"{self.path}/{last + 1}", self.owner):
+            return False
+        if self._last(self._files()) > last + 1:  # this generation is long over and its file was cleared away
+            return False
+        self.generation = last + 1
+        for name in files:
+            if name.split(".")[0].isdigit() and int(name.split(".")[0]) < last:
+                self._fs.delete(self._hadoop(f"{self.path}/{name}"), False)
+        return True
+
+    @property
+    def held(self) -> bool:
+        """Whether this lock has been taken and nobody has taken it over since."""
+        return self.generation > 0 and self._last(self._files()) == self.generation and read_text(self.spark, f"{self.path}/{self.generation}") == self.owner
+
+    def renew(self) -> bool:
+        """Starts the lease anew; False if it has been taken over."""
+        if not self.held:
+            return False
+        self._fs.create(self._hadoop(f"{self.path}/{self.generation}.alive"), True).close()
         return True
 
     def __exit__(self, *_) -> None:
-        if self.held:
-            self._fs.delete(self._path, False)
+        if self.generation:
+            create_once(self.spark, f"{self.path}/{self.generation}.released", self.owner)
+            self.generation = 0
 
 
 class Timings:

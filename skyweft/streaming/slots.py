@@ -7,6 +7,7 @@ decreases and failures leave that baseline as it is. Slots are whole seconds sin
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator, Sequence
 from datetime import UTC, datetime, timedelta
 
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..commits import create_once, read_text
+
 SLOT_SECONDS, RESCAN_MINUTES, READY_DELAY_MINUTES = 300, 30, 2
 STATE_SCHEMA = "slot timestamp, last_seen map<string,bigint>, last_processed map<string,bigint>, status string, error string"
 QUEUE_SCHEMA = "slot timestamp, status string, attempts int, error string"
@@ -28,6 +31,11 @@ def ceil_slot(ts: Column, seconds: int = SLOT_SECONDS) -> Column:
     return F.timestamp_seconds(F.ceil(F.unix_micros(ts) / (seconds * 1_000_000)) * seconds)
 
 
+def six_hourly(ts: Column) -> Column:
+    """Whether a UTC time lies in an hour that is a multiple of six."""
+    return F.floor(F.unix_timestamp(ts) / 3600) % 6 == 0
+
+
 def beijing(ts: Column) -> Column:
     """The local text of a UTC time, eight hours ahead."""
     return F.date_format(ts + F.expr("INTERVAL 8 HOURS"), "yyyy-MM-dd HH:mm")
@@ -176,8 +184,13 @@ def stream_growth(stream: DataFrame, ts: str = "ts") -> DataFrame:
     return slotted.groupBy("slot").applyInPandasWithState(step, "slot timestamp, n_rows bigint, n_new bigint", "n bigint", "update", "EventTimeTimeout")
 
 
+class Conflict(Exception):
+    """Another writer has committed this version."""
+
+
 class StateTable:
-    """The slots' state as versions of one Parquet table: each batch writes the next version, and a version counts once its pointer is renamed in."""
+    """The slots' state as versions of one Parquet table. A version's rows lie in a folder of their own and count once its pointer appears, which only one
+    writer can create; the pointer also says which batch of each stream the version has taken in."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -190,24 +203,47 @@ class StateTable:
             return -1
         return max((int(f.getPath().getName()) for f in self._fs.listStatus(folder) if f.getPath().getName().isdigit()), default=-1)
 
-    def read(self) -> DataFrame:
-        v = self.version()
-        return self.spark.createDataFrame([], STATE_SCHEMA) if v < 0 else self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/v{v}")
+    def _pointer(self, version: int) -> dict:
+        return {"folder": None, "batches": {}} if version < 0 else json.loads(read_text(self.spark, f"{self.root}/commits/{version}"))
+
+    def read(self, version: int | None = None) -> DataFrame:
+        folder = self._pointer(self.version() if version is None else version)["folder"]
+        return self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/{folder}") if folder else self.spark.createDataFrame([], STATE_SCHEMA)
+
+    def batch(self, stream: str) -> int:
+        """The last batch of a stream that the state has taken in, -1 if none."""
+        return self._pointer(self.version())["batches"].get(stream, -1)
 
     def commit(self, state: DataFrame, version: int | None = None) -> int:
-        """Writes the next version; writing a version again that is committed changes nothing, so a batch may be repeated."""
-        v = self.version() + 1 if version is None else version
-        if v <= self.version():
-            return self.version()
-        state.select("slot", "last_seen", "last_processed", "status", "error").write.mode("overwrite").parquet(f"{self.root}/v{v}")
-        self._fs.create(self._path(f"{self.root}/commits/{v}"), True).close()
+        """Writes a version, the next one if none is named; Conflict if another writer is faster. Writing a version again that is there changes nothing."""
+        last = self.version()
+        return last if version is not None and version <= last else self._commit(state, last + 1 if version is None else version)
+
+    def _commit(self, state: DataFrame, v: int, batch: tuple[str, int] | None = None) -> int:
+        folder = f"data/{uuid.uuid4().hex}"
+        state.select("slot", "last_seen", "last_processed", "status", "error").write.parquet(f"{self.root}/{folder}")
+        batches = self._pointer(v - 1)["batches"] | (dict([batch]) if batch else {})
+        if not create_once(self.spark, f"{self.root}/commits/{v}", json.dumps({"folder": folder, "batches": batches})):
+            self._fs.delete(self._path(f"{self.root}/{folder}"), True)
+            raise Conflict(v)
         return v
 
+    def update(self, changes: DataFrame, batch: tuple[str, int] | None = None) -> int:
+        """Merges changes (slot, counts, status, error) into the last version; again on top of what others commit meanwhile."""
+        while True:
+            v = self.version()
+            try:
+                return self._commit(merge_state(self.read(v), changes), v + 1, batch)
+            except Conflict:
+                continue
 
-def run_cycle(counts: DataFrame, state: StateTable, publish, version: int | None = None) -> DataFrame:
+
+def run_cycle(counts: DataFrame, state: StateTable, publish, batch: tuple[str, int] | None = None) -> DataFrame:
     """One batch: choose the slots that have grown, publish them as one job, commit the new state. Returns (slot, status). publish(slots) may raise: then
-    the chosen slots are failed and their baseline stays."""
-    now = state.read()
+    the chosen slots are failed and their baseline stays. It replaces a slot's outputs as a whole, since it is asked again for a slot if the driver is lost
+    between publishing and committing. batch: (stream, number), noted with the state."""
+    version = state.version()
+    now = state.read(version)
     chosen = to_process(counts, now).select("slot", "counts")
     status, error = "success", None
     try:
@@ -216,24 +252,49 @@ def run_cycle(counts: DataFrame, state: StateTable, publish, version: int | None
         status, error = "failed", str(e)[:500]
     done = chosen.select("slot", "counts", F.lit(status).alias("status"), F.lit(error).cast("string").alias("error"))
     skipped = counts.join(chosen.select("slot"), "slot", "left_anti").select("slot", "counts", F.lit("seen").alias("status"), F.lit(None).cast("string").alias("error"))
-    state.commit(merge_state(now, done.unionByName(skipped)), version)
+    state.update(done.unionByName(skipped), batch)
     return state.read().select("slot", "status")
 
 
 def run_stream(stream: DataFrame, state: StateTable, publish, checkpoint: str, ts: str = "ts", interval: str | None = None) -> StreamingQuery:
-    """run_cycle() for each micro-batch of new rows; exactly once, as each batch's id is its state's version. interval: a processing time, or what there
-    is now and then end."""
+    """run_cycle() for each micro-batch of new rows. A batch that is replayed after its state was committed changes nothing and publishes nothing, as the
+    state names the last batch it has taken in from this checkpoint. interval: a processing time, or what there is now and then end."""
 
     def batch(rows: DataFrame, number: int) -> None:
+        if number <= state.batch(checkpoint):
+            return
         counts = rows.groupBy(floor_slot(F.col(ts)).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
         before = state.read().select("slot", F.coalesce(F.try_element_at("last_seen", F.lit("n")), F.lit(0)).alias("was"))
         total = counts.join(before, "slot", "left").select("slot", F.create_map(F.lit("n"), F.col("n") + F.coalesce("was", F.lit(0))).alias("counts"))
-        run_cycle(total, state, publish, number)
+        run_cycle(total, state, publish, (checkpoint, number))
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def due_slot(now: datetime, first_minute: int = READY_DELAY_MINUTES) -> datetime | None:
+    """The slot whose cycle starts in this minute (minutes 2, 7, ..., 57), None in any other; a caller runs each slot once."""
+    minute = now.minute - first_minute
+    if minute % (SLOT_SECONDS // 60):
+        return None
+    return now.replace(second=0, microsecond=0) - timedelta(minutes=first_minute)
+
+
+def time_key(ts: Column) -> Column:
+    """A UTC time as text that sorts as the time does."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def path_parts(ts: Column) -> Column:
+    """Where a slot's outputs lie: year/month/day/stamp."""
+    return F.date_format(ts, "yyyy/MM/dd/yyyyMMddHHmm")
+
+
+def delay_seconds(now: Column, updated: Column) -> Column:
+    """How long after its source's update a slot came out, 0 at least."""
+    return F.greatest(F.unix_timestamp(now) - F.unix_timestamp(updated), F.lit(0))
+
+
 def json_counts(counts: Column) -> Column:
     return F.to_json(counts)
 
