@@ -66,11 +66,12 @@ def block_average(source: DataFrame, target: DataFrame, resolution: float, value
     half = {"r": max(1, int(abs(resolution / dy))) // 2, "c": max(1, int(abs(resolution / dx))) // 2}
     within = F.col("lat").between(f["y0"], f["y1"]) & F.col("lon").between(f["x0"], f["x1"])
     placed = target.where(within).withColumns({"__r": axis_index(F.col("lat"), f["y0"], dy, f["rows"], False), "__c": axis_index(F.col("lon"), f["x0"], dx, f["cols"], False)})
-    offsets = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-half["r"], half["r"] + 1) for b in range(-half["c"], half["c"] + 1)))
-    # each source cell is added to the centres around it before targets meet it, so targets are shuffled once
-    sums = source.where(F.col(value).isNotNull()).select("r", "c", value, F.explode(offsets).alias("o")).groupBy((F.col("r") + F.col("o.a")).alias("__r"), (F.col("c") + F.col("o.b")).alias("__c")).agg(F.avg(value).alias(value))
-    found = placed.join(sums, ["__r", "__c"], "left").select("r", "c", value)
-    return target.join(found, ["r", "c"], "left")
+    # targets ask for the cells of their own blocks, which are about as many as the source has when blocks tile it
+    span = lambda at: F.explode(F.sequence(F.col(f"__{at}") - half[at], F.col(f"__{at}") + half[at])).alias(at)
+    rows = placed.select(F.col("r").alias("tr"), F.col("c").alias("tc"), "__c", span("r"))
+    asked = rows.select("tr", "tc", "r", span("c"))
+    found = asked.join(source.where(F.col(value).isNotNull()).select("r", "c", value), ["r", "c"]).groupBy("tr", "tc").agg(F.avg(value).alias(value))
+    return target.join(found.select(F.col("tr").alias("r"), F.col("tc").alias("c"), value), ["r", "c"], "left")
 
 
 def tile_boxes(tiles: DataFrame) -> DataFrame:
@@ -81,10 +82,15 @@ def tile_relations(boxes: DataFrame, resolution: float = 0.01, adjacent: str = "
     """Pairs of tiles that are adjacent: (tile_a, tile_b, relation, lat_gap, lon_gap), relation "overlap" or "gap" (over half a cell).
 
     adjacent: "both" asks for neighbouring edges in latitude and in longitude, so tiles side by side are no pair; "either" corrects that: edges
-    that meet on one axis and ranges that overlap or meet on the other. Tiles are a directory listing, so their pairs are few."""
-    a, b = boxes.alias("a"), boxes.alias("b")
+    that meet on one axis and ranges that overlap or meet on the other. Tiles meet in the squares, as wide as the widest tile, that they or their
+    surroundings lie in, so only neighbours are compared."""
     c = F.col
     near = resolution * 1.5
+    widest = boxes.agg(F.max(F.greatest(c("lat_max") - c("lat_min"), c("lon_max") - c("lon_min")))).first()[0] or 0.0
+    side = widest + 2 * near
+    squares = lambda x: F.explode(F.sequence(F.floor((c(f"{x}_min") - near) / side), F.floor((c(f"{x}_max") + near) / side)))
+    dealt = boxes.withColumn("__y", squares("lat")).withColumn("__x", squares("lon"))
+    a, b = dealt.alias("a"), dealt.alias("b")
 
     def meets(x: str) -> Column:
         return (F.abs(c(f"a.{x}_max") - c(f"b.{x}_min")) <= near) | (F.abs(c(f"b.{x}_max") - c(f"a.{x}_min")) <= near)
@@ -97,10 +103,10 @@ def tile_relations(boxes: DataFrame, resolution: float = 0.01, adjacent: str = "
 
     close = meets("lat") & meets("lon") if adjacent == "both" else (meets("lat") & (overlaps("lon") | meets("lon"))) | (meets("lon") & (overlaps("lat") | meets("lat")))
     both = overlaps("lat") & overlaps("lon")
-    pairs = a.join(b, (c("a.tile_id") < c("b.tile_id")) & close)
+    pairs = a.join(b, (c("a.__y") == c("b.__y")) & (c("a.__x") == c("b.__x")) & (c("a.tile_id") < c("b.tile_id")) & close)
     relation = F.when(both, "overlap").when((gap("lat") > resolution * 0.5) | (gap("lon") > resolution * 0.5), "gap")
     found = pairs.select(c("a.tile_id").alias("tile_a"), c("b.tile_id").alias("tile_b"), relation.alias("relation"), gap("lat").alias("lat_gap"), gap("lon").alias("lon_gap"))
-    return found.where("relation IS NOT NULL")
+    return found.where("relation IS NOT NULL").distinct()
 
 
 def unified_axis(cells: DataFrame, column: str, resolution: float) -> DataFrame:
@@ -131,9 +137,13 @@ def strict_merge(a: DataFrame, b: DataFrame, value: str = "elevation") -> DataFr
 
 def densify(grid: DataFrame) -> DataFrame:
     """All (r, c) of the grid's bounding box, absent cells with NULLs."""
-    f = grid.agg(F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    rows = f.select(F.explode(F.sequence("r0", "r1")).alias("r"), "c0", "c1").select("r", F.explode(F.sequence("c0", "c1")).alias("c"))
-    return rows.join(grid, ["r", "c"], "left")
+    box = grid.agg(F.min("r"), F.max("r"), F.min("c"), F.max("c")).first()
+    if box[0] is None:
+        return grid
+    r0, r1, c0, c1 = box
+    cols = c1 - c0 + 1
+    cells = grid.sparkSession.range((r1 - r0 + 1) * cols).select((F.floor(F.col("id") / cols) + r0).cast("bigint").alias("r"), (F.col("id") % cols + c0).alias("c"))
+    return cells.join(grid, ["r", "c"], "left")
 
 
 def coverage(grid: DataFrame, value: str = "elevation") -> DataFrame:

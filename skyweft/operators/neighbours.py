@@ -58,8 +58,8 @@ def nearest_stations(targets: DataFrame, stations: DataFrame, k: int, payload: S
     stations have no row."""
     by = list(by)
     entry = F.struct("lat", "lon", "seq", *(c for c in payload if c not in ("lat", "lon", "seq")))
-    if stations.limit(max_stations + 1).count() > max_stations and not by:
-        return _plain(targets, stations, k, entry)
+    if _most(stations, by, max_stations) > max_stations:
+        return _plain(targets, stations, k, entry, by)
     level = stations.groupBy(*by).agg(F.collect_list(entry).alias("__st"))
     tiled = targets.na.drop(subset=["lat", "lon"])
     for i, size in enumerate(blocks):
@@ -76,28 +76,37 @@ def nearest_stations(targets: DataFrame, stations: DataFrame, k: int, payload: S
     return found.select(*targets.columns, ranked(F.col("__st"), F.col("lat"), F.col("lon"), k).alias("near"))
 
 
-def _plain(targets: DataFrame, stations: DataFrame, k: int, entry: Column) -> DataFrame:
+def _most(stations: DataFrame, by: list[str], limit: int) -> int:
+    """The number of stations of the largest group, if that is over limit; else limit at most."""
+    if not by:
+        return stations.limit(limit + 1).count()
+    return stations.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+
+
+def _plain(targets: DataFrame, stations: DataFrame, k: int, entry: Column, by: list[str]) -> DataFrame:
     """Any number of stations: each block takes the stations of growing rings of blocks around it, until k of them lie so near that what is outside of the
-    rings is farther. Blocks are sized for about k stations each."""
-    total = stations.count()
+    rings is farther. Blocks are sized for about k stations each where a group has most."""
+    groups = stations.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
+    total = groups.agg(F.max("__total")).first()[0] or 0
     size, ring = max(0.05, math.sqrt(64_800 * k / max(1, total))), 3
-    cells = stations.select(*_block(size), entry.alias("s"))
-    boxes = targets.na.drop(subset=["lat", "lon"]).select(*_block(size)).distinct()
+    cells = stations.select(*by, *_block(size), entry.alias("s"))
+    boxes = targets.na.drop(subset=["lat", "lon"]).select(*by, *_block(size)).distinct()
+    boxes = boxes.join(groups, by) if by else boxes.crossJoin(F.broadcast(groups))
     y, x = _names(0)
     done, todo = None, boxes
     while True:
         offsets = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-ring, ring + 1) for b in range(-ring, ring + 1))))
-        around = todo.select("*", offsets.alias("o")).select(F.col(y).alias("ty"), F.col(x).alias("tx"), (F.col(y) + F.col("o.a")).alias(y), (F.col(x) + F.col("o.b")).alias(x))
-        lists = around.join(cells, [y, x]).groupBy("ty", "tx").agg(F.collect_list("s").alias("__st"))
+        around = todo.select("*", offsets.alias("o")).select(*by, "__total", F.col(y).alias("ty"), F.col(x).alias("tx"), (F.col(y) + F.col("o.a")).alias(y), (F.col(x) + F.col("o.b")).alias(x))
+        lists = around.join(cells, [*by, y, x]).groupBy(*by, "ty", "tx").agg(F.first("__total").alias("__total"), F.collect_list("s").alias("__st"))
         # k stations within half the rings are at most sqrt(2) * (half + 1) blocks away, what is outside at least `ring` blocks
         inner = lists.withColumn("n", F.size(F.filter("__st", lambda s: (F.abs(F.floor(s["lat"] / size) - F.col("ty")) <= (ring - 1) // 2) & (F.abs(F.floor(s["lon"] / size) - F.col("tx")) <= (ring - 1) // 2))))
-        enough = inner.where((F.col("n") >= k) | (F.size("__st") >= total)).select(F.col("ty").alias(y), F.col("tx").alias(x), "__st")
+        enough = inner.where((F.col("n") >= k) | (F.size("__st") >= F.col("__total"))).select(*by, F.col("ty").alias(y), F.col("tx").alias(x), "__st")
         done = enough if done is None else done.unionByName(enough)
-        todo = todo.join(enough.select(y, x), [y, x], "left_anti")
+        todo = todo.join(enough.select(*by, y, x), [*by, y, x], "left_anti")
         if todo.isEmpty():
             break
         ring = 2 * ring + 1
-    found = targets.select("*", *_block(size)).join(done, [y, x])
+    found = targets.select("*", *_block(size)).join(done, [*by, y, x])
     return found.select(*targets.columns, ranked(F.col("__st"), F.col("lat"), F.col("lon"), k).alias("near"))
 
 

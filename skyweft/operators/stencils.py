@@ -1,6 +1,6 @@
 """Focal operators over long grids (r, c, value): terrain position, gradients, smoothing, dilation, gap filling.
 
-Missing cells are NULL or absent. Box sums are separable running sums, so their cost doesn't depend on the window; small kernels are scattered:
+Missing cells are NULL or absent. Box sums are separable sums over lines, wide ones by running sums over blocks; small kernels are scattered:
 each source cell is added to its neighbours with map-side sums, and only cells of the grid are kept. Edges are padded beforehand.
 """
 
@@ -54,13 +54,39 @@ def scatter(grid: DataFrame, kernel: dict[tuple[int, int], float], value: str) -
     return spread.groupBy(*place).agg(F.sum(F.col("v") * F.col("k.w")).alias("total"), F.sum("k.w").alias("weight"), F.count("v").alias("n"))
 
 
+#: Half widths up to which sliding frames are summed afresh for each cell.
+NARROW = 8
+
+
+def _line_sums(cells: DataFrame, line: str, at: str, half: int, values: dict[str, str]) -> DataFrame:
+    """cells (line, at, columns of values) with the columns summed over at - half .. at + half on each line, under the names that values gives.
+
+    Wide windows are two parts of neighbouring blocks of the window's width: the end of one and the start of the next. Running sums inside the blocks give
+    both, so the work doesn't depend on the width, no block is longer than the window, and nothing is subtracted."""
+    if half <= NARROW:
+        w = Window.partitionBy(line).orderBy(at).rangeBetween(-half, half)
+        return cells.select(line, at, *(F.sum(c).over(w).alias(n) for c, n in values.items()))
+    width = 2 * half + 1
+    # 0: a cell's values; 1: what cell `to` asks for at the upper end of its window, 2: at the lower end
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), (F.col(at) + d).alias("place")) for k, d in ((0, 0), (1, half), (2, -half))))
+    rows = cells.select(line, F.col(at).alias("to"), *values, F.explode(kinds).alias("e")).select(line, "to", "e.kind", "e.place", *(F.when(F.col("e.kind") == 0, F.col(c)).alias(c) for c in values))
+    rows = rows.withColumn("block", F.floor(F.col("place") / width))
+    up = Window.partitionBy(line, "block").orderBy("place", F.col("kind")).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(line, "block").orderBy(F.col("place").desc(), F.col("kind")).rowsBetween(Window.unboundedPreceding, 0)
+    parts = rows.select(line, "to", "kind", "place", *(F.when(F.col("kind") == 1, F.sum(c).over(up)).when(F.col("kind") == 2, F.sum(c).over(down)).alias(c) for c in values))
+    # a window that is a whole block has both parts equal to it
+    twice = (F.col("kind") == 2) & (F.pmod(F.col("place"), F.lit(width)) == 0)
+    asked = parts.where((F.col("kind") > 0) & ~twice)
+    return asked.groupBy(line, F.col("to").alias(at)).agg(*(F.sum(c).alias(n) for c, n in values.items()))
+
+
 def box_sums(grid: DataFrame, half: int, value: str) -> DataFrame:
     """grid with total and n: sum and number of present values in the (2 half + 1)-wide square, edges repeated outwards."""
     padded = pad(grid.select("r", "c", F.col(value).cast("double").alias("v")), half, "nearest")
-    along = padded.withColumns({"s": F.sum("v").over(Window.partitionBy("r").orderBy("c").rangeBetween(-half, half)), "k": F.count("v").over(Window.partitionBy("r").orderBy("c").rangeBetween(-half, half))})
-    w = Window.partitionBy("c").orderBy("r").rangeBetween(-half, half)
-    both = along.select("r", "c", F.sum("s").over(w).alias("total"), F.sum("k").over(w).alias("n"))
-    return grid.join(both, ["r", "c"])
+    counted = padded.withColumn("k", F.col("v").isNotNull().cast("bigint"))
+    along = _line_sums(counted, "r", "c", half, {"v": "s", "k": "m"})
+    both = _line_sums(along, "c", "r", half, {"s": "total", "m": "n"})
+    return grid.join(both.select("r", "c", "total", "n"), ["r", "c"])
 
 
 def tpi(grid: DataFrame, size: int, value: str = "elevation") -> DataFrame:
@@ -160,16 +186,15 @@ def fill_neighbourhood(grid: DataFrame, rounds: int = 3, value: str = "elevation
 def fill_linear(grid: DataFrame, distance: float = 5, value: str = "elevation") -> DataFrame:
     """grid with missing cells near present ones filled by line interpolation: the mean of what the nearest present cells left and right, and above and
     below, give linearly; cells with neither take the nearest value. (Not a triangulation: along rows and columns only.)"""
-    row, column = Window.partitionBy("r").orderBy("c"), Window.partitionBy("c").orderBy("r")
     here = F.when(F.col(value).isNotNull(), F.struct(F.col("c").alias("x"), F.col("r").alias("y"), F.col(value).alias("v")))
-    before = lambda w: F.last(here, True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    after = lambda w: F.first(here, True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    # from either end: the last present cell so far, carried along in one pass
+    nearest = lambda line, order: F.last(here, True).over(Window.partitionBy(line).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
 
     def line(a: Column, b: Column, at: str, axis: str) -> Column:
         share = F.try_divide(F.col(at) - a[axis], b[axis] - a[axis])
         return a["v"] + (b["v"] - a["v"]) * share
 
-    sides = grid.withColumns({"__l": before(row), "__rt": after(row), "__u": before(column), "__d": after(column)})
+    sides = grid.withColumns({"__l": nearest("r", F.col("c")), "__rt": nearest("r", F.col("c").desc()), "__u": nearest("c", F.col("r")), "__d": nearest("c", F.col("r").desc())})
     across, down = line(F.col("__l"), F.col("__rt"), "c", "x"), line(F.col("__u"), F.col("__d"), "r", "y")
     lined = sides.select("r", "c", F.when(across.isNotNull() & down.isNotNull(), (across + down) / 2).otherwise(F.coalesce(across, down)).alias("__line"))
     near = fill_nearest(grid, distance, value).select("r", "c", F.col(value).alias("__near"))

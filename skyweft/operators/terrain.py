@@ -56,7 +56,11 @@ def label_blocks(cells: DataFrame, cls: int) -> DataFrame:
     edges = checkpoints.cut(touch.select(F.col("b.run").alias("x"), F.col("a.run").alias("y")))
     roots = contract(edges)
     named = runs.join(roots, runs["run"] == roots["x"], "left").select("r", "c0", "c1", F.coalesce("y", "run").alias("root"))
-    order = named.select("root").distinct().withColumn("label", F.row_number().over(Window.orderBy("root")).cast("bigint"))
+    # numbered row by row, behind the blocks that start in rows before: what is ordered in one task is a count a row
+    first = named.select("root").distinct().withColumn("r0", F.col("root.r"))
+    before = first.groupBy("r0").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("r0")) - F.col("n"))
+    inside = first.withColumn("nth", F.row_number().over(Window.partitionBy("r0").orderBy("root")))
+    order = inside.join(before, "r0").select("root", (F.col("before") + F.col("nth")).cast("bigint").alias("label"))
     return named.join(order, "root").select("r", F.explode(F.sequence("c0", "c1")).alias("c"), "label")
 
 
