@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from .functions import geo
 from .operators import cleaning, grids, neighbours, scoring, stencils, terrain, visibility
 from .oracles import ORACLES
 from .plans import chains
+from .sources import station_feed
 from .sources.fixtures import RING, table, view
 from .streaming import slots
 
@@ -357,10 +358,10 @@ def slot5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def slot_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rescan window of a cycle at each hour of the first day that has events."""
-    cycle = F.timestamp_seconds(F.floor(F.min(F.unix_timestamp("ts")) / 86400) * 86400).alias("day")
-    hours = _events(spark, sf_dir).agg(cycle).select(F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"), "day").select((F.unix_timestamp("day") + F.col("h") * 3600 + 137).alias("now"))
-    first, last = F.ceil((F.col("now") - 1800) / 300) * 300, F.floor((F.col("now") - 120) / 300) * 300
-    return hours.select("now", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"), F.lit(300).cast("bigint"))).alias("slot"))
+    first = _events(spark, sf_dir).agg(F.min(F.unix_timestamp("ts"))).first()[0]
+    times = [datetime.fromtimestamp(first // 86400 * 86400 + h * 3600 + 137, UTC) for h in range(24)]
+    rows = [(int(now.timestamp()), int(slot.timestamp())) for now in times for slot in slots.window_times(now)]
+    return spark.createDataFrame(rows, "now bigint, slot bigint")
 
 
 def hourly_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,9 +405,91 @@ def late_rescan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def slot_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slot arithmetic and names: floor, ceiling, local text, 6-hourly flag."""
+    """Slot arithmetic: floor, ceiling, 6-hourly flag."""
     day = _events(spark, sf_dir).select("event_id", "ts")
-    return day.select("event_id", F.unix_timestamp(slots.floor_slot(F.col("ts"))).alias("lo"), F.unix_timestamp(slots.ceil_slot(F.col("ts"))).alias("hi"), (F.floor(F.unix_timestamp("ts") / 3600) % 6 == 0).alias("six_hourly"))
+    return day.select("event_id", F.unix_timestamp(slots.floor_slot(F.col("ts"))).alias("lo"), F.unix_timestamp(slots.ceil_slot(F.col("ts"))).alias("hi"), slots.six_hourly(F.col("ts")).alias("six_hourly"))
+
+
+def slot_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slot's names (key, local time, folder), and its delay if it came out an hour after the event."""
+    slot = slots.floor_slot(F.col("ts"))
+    out = F.timestamp_seconds(F.unix_timestamp("ts") + F.col("event_id") % 7200 - 3600)
+    return _events(spark, sf_dir).select("event_id", slots.time_key(slot).alias("key"), slots.beijing(slot).alias("local"), slots.path_parts(slot).alias("folder"), slots.delay_seconds(out, F.col("ts")).alias("delay"))
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hours(spark, sf_dir).select("slot", "n", (F.unix_timestamp("slot") / 3600).cast("bigint").alias("hour"))
+
+
+def state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A state of every second hour, and changes to every third: a success, a failure or only a look."""
+    counted = _counted(spark, sf_dir)
+    before = counted.where("hour % 2 = 0").select("slot", F.create_map(F.lit("n"), F.col("n") - 1).alias("last_seen"), F.create_map(F.lit("n"), F.col("n") - 2).alias("last_processed"), F.lit("seen").alias("status"), F.lit("old").alias("error"))
+    status = F.element_at(F.array(F.lit("success"), F.lit("failed"), F.lit("seen")), (F.col("hour") / 3 % 3).cast("int") + 1)
+    changes = counted.where("hour % 3 = 0").select("slot", F.when(F.col("hour") % 5 != 0, F.create_map(F.lit("n"), F.col("n"))).alias("counts"), status.alias("status"), F.lit("new").alias("error"))
+    merged = slots.merge_state(before, changes)
+    text = lambda c: slots.json_counts(slots.parse_counts(slots.json_counts(F.col(c))))
+    return merged.select(_epoch("slot"), text("last_seen").alias("last_seen"), text("last_processed").alias("last_processed"), "status", "error")
+
+
+def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hour = F.col("hour")
+    status = F.when(hour % 5 == 0, "done").when(hour % 7 == 0, "processing").when(hour % 3 == 0, "failed").otherwise("pending")
+    return _counted(spark, sf_dir).where("hour % 11 <> 0").select("slot", status.alias("status"), F.lit(1).alias("attempts"), F.lit("e").alias("error"))
+
+
+def queue_enqueue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A queue to which every second hour is added, those it has not among them."""
+    return slots.enqueue(_queue(spark, sf_dir), _counted(spark, sf_dir).where("hour % 2 = 0")).select(_epoch("slot"), "status", F.col("attempts").cast("bigint").alias("attempts"), "error")
+
+
+def queue_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = _counted(spark, sf_dir).where("hour % 7 = 0").select("slot", (F.col("hour") % 2 == 0).alias("success"), F.when(F.col("hour") % 2 != 0, "broken").alias("error"))
+    return slots.queue_result(_queue(spark, sf_dir), results).select(_epoch("slot"), "status", F.col("attempts").cast("bigint").alias("attempts"), "error")
+
+
+def work_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each hour in the order of work: hours after the twelfth are new, the others backlog."""
+    counted = _counted(spark, sf_dir)
+    order = slots.order_of_work(counted.where("hour % 24 > 12"), counted.where("hour % 24 <= 12"))
+    places = [(r.slot, i) for i, r in enumerate(order.collect())]  # a row a slot: some hundred thousand for a year
+    return spark.createDataFrame(places, "slot timestamp, place bigint").select(_epoch("slot"), "place")
+
+
+def month_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    means = scoring.monthly(scoring.errors(view(spark, sf_dir, "fx_pairs")), ("model", "station_type"), "dt", ("error",))
+    return slots.month_over_month(means, ("model", "station_type")).select("model", "station_type", "month", F.round("mean", 9).alias("mean"), (F.round("change", 8) + 0.0).alias("change"))
+
+
+def marker_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "fx_raw_feed").select((F.col("seq") % 50).alias("part"), F.when(F.col("seq") % 77 != 5, F.col("update_minute")).alias("m"))
+    return rows.groupBy("part").agg(cleaning.marker_sum(F.col("m")).cast("double").alias("marker"))
+
+
+def union_common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that stations and events share under their names, from both."""
+    stations = _national(spark, sf_dir).select("seq", "lat", "vis", "rh")
+    return cleaning.common_union(stations, _regional(spark, sf_dir).select("vis", "altitude", "seq")).select("seq", "vis")
+
+
+def not_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _dem(spark, sf_dir).withColumn("v", F.col("elevation") - 700)
+    return cells.select("id", F.when(F.col("v") == 0, 0.0).otherwise(scoring.band(F.col("v"), 0)).alias("v"))
+
+
+def feed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses made of the raw feed, a hundred stations each, one in seven without a field: read, cleaned, the best row a code."""
+    raw = view(spark, sf_dir, "fx_raw_feed").where("v_code IS NOT NULL").withColumn("part", F.floor(F.col("seq") / 100).cast("bigint"))
+    line = F.concat_ws(",", "v_code", F.lit("n"), F.lit("c"), F.lit("d"), F.lit("113"), F.lit("23"), F.lit("10"), "v_rh", "v_vis_primary", "v_vis_secondary", F.format_string("2024-01-01 00:%02d:00", "update_minute"))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", line.alias("line")))), lambda x: x["line"]), "\n")
+    wire = ",".join(station_feed.WIRE_FIELDS)
+    head = F.when(F.col("part") % 7 == 3, wire.replace(cleaning.VISIBILITY_FIELDS["national"], "other", 1)).otherwise(wire)
+    made = raw.groupBy("part").agg(F.count(F.lit(1)).alias("n"), lines.alias("lines"))
+    responses = made.select("part", F.col("part").cast("string").alias("source"), F.concat_ws("\n", F.col("n").cast("string"), F.lit(""), head, "lines").alias("body"), F.lit(None).cast("string").alias("error"))
+    read = station_feed.parsed(responses, "national")
+    best = station_feed.clean(read, "national", ["part"])
+    counted = station_feed.batch_summary(read, ("part",)).select("part", "n_rows", F.col("marker").cast("double").alias("marker"), "n_errors")
+    return counted.join(best.groupBy("part").agg(F.count("code").cast("double").alias("n_codes"), F.count("vis").cast("double").alias("n_vis"), F.sum("vis").alias("vis"), F.sum("rh").alias("rh")), "part", "left")
 
 
 def chain_dem_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,7 +524,7 @@ QUERIES = {f.__name__: f for f in (
     unified_axes, axis_spacing, overlap_average, tile_strict_merge, coverage_report, fill_nearest, fill_neighborhood, fill_linear, sobel_gradient, tpi, tpi_wide,
     tpi_thresholds_quantile, tpi_thresholds_zscore, tpi_thresholds_mad, tpi_class, tpi_blocks, fog_classes, fog_band_stats, grid_stats, color_bins, bbox_mask,
     polygon_mask, value_cdf, value_log_bins, method_correlation, leave_one_out, estimate_counts, slot5_counts, slot_window, hourly_slots, anti_published, growth_filter, queue_claim, status_tally,
-    late_rescan, slot_fields, chain_dem_build, gaussian_smooth, smooth_steep_cells, dilation, stream_slots,
+    late_rescan, slot_fields, slot_texts, state_merge, queue_enqueue, queue_results, work_order, month_trend, marker_sums, union_common, not_negative, feed_tables, chain_dem_build, gaussian_smooth, smooth_steep_cells, dilation, stream_slots,
 )}
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -103,6 +103,70 @@ def _ring() -> str:
         parts.append(f"CASE WHEN (({y1}::DOUBLE > lat) <> ({y2}::DOUBLE > lat)) AND lon < ({x2 - x1!r}::DOUBLE) * (lat - {y1}::DOUBLE) / ({y2 - y1!r}::DOUBLE) + {x1}::DOUBLE THEN 1 ELSE 0 END")
     return "(" + " + ".join(parts) + ") % 2 = 1"
 
+_HOURS = "h AS (SELECT CAST(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS slot, count(*) AS n FROM events GROUP BY 1), c AS (SELECT slot, n, slot // 3600 AS hour FROM h)"
+_QUEUE = """q AS (SELECT slot, CASE WHEN hour % 5 = 0 THEN 'done' WHEN hour % 7 = 0 THEN 'processing' WHEN hour % 3 = 0 THEN 'failed' ELSE 'pending' END AS status, 1 AS attempts, 'e' AS error, hour FROM c WHERE hour % 11 <> 0)"""
+
+
+def _gauss_weights(sigma: float) -> str:
+    radius = int(4 * sigma + 0.5)
+    one = f"(SELECT d, exp(-0.5 * power(d / {sigma}::DOUBLE, 2)) AS w FROM range(-{radius}, {radius} + 1) t(d))"
+    return f"(SELECT a.d AS a, b.d AS b, a.w * b.w / power((SELECT sum(w) FROM {one} s), 2) AS w FROM {one} a, {one} b)"
+
+
+def _mirror(at: str, low: str, high: str) -> str:
+    """Where a place beyond the edges lies when they are mirrors, the edge line twice."""
+    n = f"({high} - {low} + 1)"
+    m = f"((({at} - {low}) % (2 * {n}) + 2 * {n}) % (2 * {n}))"
+    return f"({low} + CASE WHEN {m} < {n} THEN {m} ELSE 2 * {n} - 1 - {m} END)"
+
+
+def _gauss(src: str, out: str, sigma: float, zero: bool) -> str:
+    value = "coalesce(n.elevation, 0)" if zero else "n.elevation"
+    smooth = f"sum({value} * w)" if zero else f"sum({value} * w) / sum(CASE WHEN n.elevation IS NOT NULL THEN w END)"
+    return f"""{out}_q AS MATERIALIZED (SELECT g.r, g.c, w, {_mirror('(g.r + k.a)', 'r0', 'r1')} AS sr, {_mirror('(g.c + k.b)', 'c0', 'c1')} AS sc
+            FROM {src} g, (SELECT min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1 FROM {src}) x, {_gauss_weights(sigma)} k),
+        {out} AS MATERIALIZED (SELECT q.r, q.c, {smooth} AS smooth FROM {out}_q q JOIN {src} n ON n.r = q.sr AND n.c = q.sc GROUP BY q.r, q.c)"""
+
+
+def _steep(src: str, out: str) -> str:
+    """src with its steepest cells and what is two steps from them smoothed."""
+    return f"""{out}_p AS MATERIALIZED (SELECT g.r, g.c, dr, dc, greatest(r0, least(r1, g.r + dr)) AS sr, greatest(c0, least(c1, g.c + dc)) AS sc
+            FROM {src} g, (SELECT min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1 FROM {src}) x, range(-1, 2) a(dr), range(-1, 2) b(dc)),
+        {out}_s AS (SELECT p.r, p.c, count(n.elevation) AS n, sum(n.elevation * dr * (2 - abs(dc))) AS gx, sum(n.elevation * dc * (2 - abs(dr))) AS gy
+            FROM {out}_p p JOIN {src} n ON n.r = p.sr AND n.c = p.sc GROUP BY p.r, p.c),
+        {out}_g AS MATERIALIZED (SELECT r, c, CASE WHEN n = 9 THEN sqrt(gx * gx + gy * gy) END AS gradient FROM {out}_s),
+        {out}_h AS (SELECT r, c FROM {out}_g WHERE gradient > (SELECT quantile_cont(gradient, 0.95) FROM {out}_g)),
+        {out}_d AS (SELECT DISTINCT h.r + a.d AS r, h.c + b.d AS c FROM {out}_h h, range(-2, 3) a(d), range(-2, 3) b(d) WHERE abs(a.d) + abs(b.d) <= 2),
+        {_gauss(src, f'{out}_m', 0.8, True)},
+        {out} AS MATERIALIZED (SELECT g.r, g.c, CASE WHEN d.r IS NOT NULL AND g.elevation IS NOT NULL THEN m.smooth ELSE g.elevation END AS elevation
+            FROM {src} g LEFT JOIN {out}_m m ON g.r = m.r AND g.c = m.c LEFT JOIN {out}_d d ON g.r = d.r AND g.c = d.c)"""
+
+
+def _near_fill(src: str, out: str, distance: int) -> str:
+    return f"""{out}_q AS MATERIALIZED (SELECT g.r, g.c, g.r + dr AS sr, g.c + dc AS sc FROM {src} g, range(-{distance}, {distance} + 1) a(dr), range(-{distance}, {distance} + 1) b(dc)
+            WHERE g.elevation IS NULL AND dr * dr + dc * dc <= {distance * distance}),
+        {out}_n AS (SELECT q.r, q.c, s.elevation AS v, row_number() OVER (PARTITION BY q.r, q.c ORDER BY (s.r - q.r) * (s.r - q.r) + (s.c - q.c) * (s.c - q.c), s.r, s.c) AS k
+            FROM {out}_q q JOIN {src} s ON s.r = q.sr AND s.c = q.sc WHERE s.elevation IS NOT NULL),
+        {out} AS MATERIALIZED (SELECT g.r, g.c, coalesce(g.elevation, n.v) AS elevation FROM {src} g LEFT JOIN {out}_n n ON g.r = n.r AND g.c = n.c AND k = 1)"""
+
+
+def _line_fill(src: str, out: str, distance: int) -> str:
+    """Line interpolation along rows and columns of the cells that a nearest fill would reach."""
+    last = lambda x, order: f"last_value(CASE WHEN elevation IS NOT NULL THEN {x} END IGNORE NULLS) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    sides = {"l": "PARTITION BY r ORDER BY c", "t": "PARTITION BY r ORDER BY c DESC", "u": "PARTITION BY c ORDER BY r", "d": "PARTITION BY c ORDER BY r DESC"}
+    found = ", ".join(f"{last('elevation', order)} AS {s}v, {last('c' if s in 'lt' else 'r', order)} AS {s}x" for s, order in sides.items())
+    return f"""{_near_fill(src, f'{out}_f', distance)},
+        {out}_w AS (SELECT r, c, elevation, {found} FROM {src}),
+        {out}_l AS (SELECT r, c, elevation, lv + (tv - lv) * ((c - lx) / (tx - lx)) AS across, uv + (dv - uv) * ((r - ux) / (dx - ux)) AS down FROM {out}_w),
+        {out} AS MATERIALIZED (SELECT l.r, l.c, CASE WHEN l.elevation IS NULL AND f.elevation IS NOT NULL
+            THEN coalesce(CASE WHEN across IS NOT NULL AND down IS NOT NULL THEN (across + down) / 2 ELSE coalesce(across, down) END, f.elevation) ELSE l.elevation END AS elevation
+            FROM {out}_l l JOIN {out}_f f ON l.r = f.r AND l.c = f.c)"""
+
+
+_ALONG = ("(((2 - {t}) * {t} - 1) * {t} / 2)", "(((3 * {t} - 5) * {t} * {t} + 2) / 2)", "(((4 - 3 * {t}) * {t} + 1) * {t} / 2)", "(({t} - 1) * {t} * {t} / 2)")
+_SPLINE = " UNION ALL ".join(
+    f"SELECT r, c, greatest(0, least(nr, iy + {a - 1})) AS sr, greatest(0, least(nc, ix + {b - 1})) AS sc, {y.format(t='fy')} * {x.format(t='fx')} AS w FROM q" for a, y in enumerate(_ALONG) for b, x in enumerate(_ALONG)
+)
 
 _KM = "p AS (SELECT id, r, c, lat, lon, elevation / 40.0 AS km FROM fx_dem)"
 _SLOT = "CAST(floor(epoch(ts) / 300) * 300 AS BIGINT)"
@@ -223,6 +287,49 @@ ORACLES = {
         count(*) FILTER (a >= slot + 300 AND a < slot + 1800) > 0 AS recomputed FROM e GROUP BY 1""",
     "slot_fields": """SELECT event_id, CAST(floor(epoch(ts) / 300) * 300 AS BIGINT) AS lo, CAST(ceil(epoch_us(ts) / 300000000.0) * 300 AS BIGINT) AS hi, CAST(floor(epoch(ts) / 3600) AS BIGINT) % 6 = 0 AS six_hourly FROM events""",
     "stream_slots": f"SELECT {_SLOT} AS slot, count(*) AS n_rows FROM events GROUP BY 1",
+    "slot_texts": """WITH e AS (SELECT event_id, to_timestamp(floor(epoch(ts) / 300) * 300) AT TIME ZONE 'UTC' AS slot FROM events)
+        SELECT event_id, strftime(slot, '%Y-%m-%dT%H:%M:%SZ') AS key, strftime(slot + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M') AS local, strftime(slot, '%Y/%m/%d/%Y%m%d%H%M') AS folder, greatest(event_id % 7200 - 3600, 0)::BIGINT AS delay FROM e""",
+    "state_merge": f"""WITH {_HOURS}, b AS (SELECT slot, n - 1 AS s, n - 2 AS p FROM c WHERE hour % 2 = 0),
+        d AS (SELECT slot, CASE WHEN hour % 5 <> 0 THEN n END AS n, CASE hour // 3 % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'failed' ELSE 'seen' END AS status FROM c WHERE hour % 3 = 0),
+        j AS (SELECT coalesce(b.slot, d.slot) AS slot, coalesce(d.n, s) AS s, CASE WHEN d.status = 'success' THEN d.n ELSE p END AS p, b.slot AS had, d.status FROM b FULL JOIN d ON b.slot = d.slot)
+        SELECT slot, '{{"n":' || s || '}}' AS last_seen, '{{"n":' || p || '}}' AS last_processed, coalesce(status, 'seen') AS status,
+        CASE WHEN status = 'success' THEN NULL WHEN status IS NOT NULL THEN 'new' ELSE 'old' END AS error FROM j""",
+    "queue_enqueue": f"""WITH {_HOURS}, {_QUEUE}, a AS (SELECT slot FROM c WHERE hour % 2 = 0)
+        SELECT coalesce(q.slot, a.slot) AS slot, CASE WHEN a.slot IS NOT NULL AND coalesce(status, '') <> 'processing' THEN 'pending' ELSE status END AS status, coalesce(attempts, 0)::BIGINT AS attempts,
+        CASE WHEN a.slot IS NOT NULL AND coalesce(status, '') <> 'processing' THEN NULL ELSE error END AS error FROM q FULL JOIN a ON q.slot = a.slot""",
+    "queue_results": f"""WITH {_HOURS}, {_QUEUE} SELECT slot, CASE WHEN hour % 7 <> 0 THEN status WHEN hour % 2 = 0 THEN 'done' ELSE 'failed' END AS status, attempts::BIGINT AS attempts,
+        CASE WHEN hour % 7 <> 0 THEN error WHEN hour % 2 <> 0 THEN 'broken' END AS error FROM q""",
+    "work_order": f"""WITH {_HOURS} SELECT slot, row_number() OVER (ORDER BY hour % 24 > 12 DESC, CASE WHEN hour % 24 > 12 THEN -slot ELSE slot END) - 1 AS place FROM c""",
+    "month_trend": f"""{cte('fx_pairs')}, {_ERR}, g AS (SELECT model, station_type, strftime(dt, '%Y-%m') AS month, avg(e) AS e FROM err GROUP BY 1, 2, 3)
+        SELECT model, station_type, month, round(e, 9) AS mean, round(e - lag(e) OVER (PARTITION BY model, station_type ORDER BY month), 8) + 0.0 AS change FROM g""",
+    "marker_sums": f"""{cte('fx_raw_feed')} SELECT seq % 50 AS part, CASE WHEN count(*) = count(m) THEN sum(m)::DOUBLE END AS marker FROM (SELECT seq, CASE WHEN seq % 77 <> 5 THEN update_minute END AS m FROM fx_raw_feed) GROUP BY 1""",
+    "union_common": f"{cte('fx_national', 'fx_regional')} SELECT seq, vis FROM fx_national UNION ALL SELECT seq, vis FROM fx_regional",
+    "not_negative": f"{cte('fx_dem')} SELECT id, CASE WHEN elevation >= 700 THEN elevation - 700 END AS v FROM fx_dem",
+    "feed_tables": f"""{cte('fx_raw_feed')}, {_FEED}, w AS (SELECT *, CAST(floor(seq / 100) AS BIGINT) AS part FROM feed WHERE code IS NOT NULL),
+        k AS (SELECT * FROM w WHERE part % 7 <> 3 QUALIFY row_number() OVER (PARTITION BY part, code ORDER BY (CASE WHEN vis IS NULL THEN 0 ELSE 1 END + CASE WHEN rh IS NULL THEN 0 ELSE 1 END) DESC, update_minute DESC, seq) = 1),
+        b AS (SELECT part, count(code) AS n_codes, count(vis) AS n_vis, sum(vis) AS vis, sum(rh) AS rh FROM k GROUP BY 1),
+        a AS (SELECT part, CASE WHEN part % 7 = 3 THEN 0 ELSE count(*) END AS n_rows, CASE WHEN part % 7 <> 3 THEN count(*) END AS marker, CASE WHEN part % 7 = 3 THEN 1 ELSE 0 END AS n_errors FROM w GROUP BY 1)
+        SELECT a.part, n_rows::BIGINT AS n_rows, marker::DOUBLE AS marker, n_errors::BIGINT AS n_errors, n_codes::DOUBLE AS n_codes, n_vis::DOUBLE AS n_vis, vis, rh FROM a LEFT JOIN b ON a.part = b.part""",
+    "gaussian_smooth": f"{cte('fx_dem')}, {_gauss('fx_dem', 'm', 0.8, False)} SELECT r, c, round(smooth, 6) AS smooth FROM m",
+    "smooth_steep_cells": f"{cte('fx_dem')}, {_steep('fx_dem', 'm')} SELECT r, c, round(elevation, 6) AS elevation FROM m",
+    "fill_linear": f"{cte('fx_dem')}, {_line_fill('fx_dem', 'm', 3)} SELECT r, c, round(elevation, 6) AS elevation FROM m",
+    "chain_dem_build": f"""{cte('fx_tiles')}, {_MERGED}, box AS (SELECT min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1 FROM m),
+        dense AS MATERIALIZED (SELECT a.r, b.c, m.elevation FROM (SELECT unnest(range(r0, r1 + 1)) AS r FROM box) a CROSS JOIN (SELECT unnest(range(c0, c1 + 1)) AS c FROM box) b LEFT JOIN m ON m.r = a.r AND m.c = b.c),
+        {_line_fill('dense', 'lined', 5)}, {_steep('lined', 'smoothed')}, {_near_fill('smoothed', 'filled', 3)} SELECT r, c, round(elevation, 6) AS elevation FROM filled""",
+    "cubic_resample": f"""{cte('fx_dem')}, {_FRAME}, {_target(110.003, 21.007, 10, 32, 0.033)},
+        p AS (SELECT t.r, t.c, (lat - y0) / 0.02 AS y, (lon - x0) / 0.02 AS x, nr, nc FROM t, f WHERE lat BETWEEN y0 AND y1 AND lon BETWEEN x0 AND x1),
+        q AS (SELECT r, c, nr, nc, CAST(least(floor(y), nr - 1) AS BIGINT) AS iy, CAST(least(floor(x), nc - 1) AS BIGINT) AS ix, y - least(floor(y), nr - 1) AS fy, x - least(floor(x), nc - 1) AS fx FROM p),
+        k AS ({_SPLINE}), s AS (SELECT k.r, k.c, CASE WHEN count(g.elevation) = count(*) THEN sum(g.elevation * w) END AS v FROM k LEFT JOIN fx_dem g ON k.sr = g.r AND k.sc = g.c WHERE w <> 0 GROUP BY 1, 2)
+        SELECT t.r, t.c, round(v, 6) AS elevation FROM t LEFT JOIN s ON t.r = s.r AND t.c = s.c""",
+    "tpi_blocks": f"""{_tpi(5).replace('WITH ', 'WITH RECURSIVE ', 1)}, l AS (SELECT avg(tpi) - stddev_pop(tpi) AS lo, avg(tpi) + stddev_pop(tpi) AS hi FROM tpi),
+        named AS MATERIALIZED (SELECT r, c, CASE WHEN tpi >= hi THEN 1 WHEN tpi <= lo THEN -1 ELSE 0 END AS cls FROM tpi, l),
+        reach AS (SELECT r AS r0, c AS c0, r, c, cls FROM named WHERE cls <> 0
+            UNION SELECT x.r0, x.c0, n.r, n.c, n.cls FROM reach x JOIN named n ON n.cls = x.cls AND abs(n.r - x.r) <= 1 AND abs(n.c - x.c) <= 1),
+        roots AS (SELECT r0 AS r, c0 AS c, cls, min(r * 1000000 + c) AS root FROM reach GROUP BY 1, 2, 3),
+        numbered AS (SELECT r, c, cls, dense_rank() OVER (PARTITION BY cls ORDER BY root) AS label FROM roots),
+        most AS (SELECT coalesce(max(label), 0) AS n FROM numbered WHERE cls = 1)
+        SELECT k.r, k.c, CAST(k.cls AS BIGINT) AS cls, CAST(coalesce(CASE WHEN k.cls = -1 THEN label + n ELSE label END, 0) AS BIGINT) AS block_id
+        FROM named k CROSS JOIN most LEFT JOIN numbered b ON k.r = b.r AND k.c = b.c""",
     "dilation": f"""{cte('fx_dem')} SELECT g.r, g.c, coalesce(bool_or(s.elevation > 1450), false) AS dilated FROM fx_dem g LEFT JOIN fx_dem s ON abs(s.r - g.r) + abs(s.c - g.c) <= 2 GROUP BY 1, 2""",
 }
 # one result, two engines
