@@ -5,8 +5,9 @@ sums of these counts choose the windows: each starts where the one before ended
 the system turn, which every window repeats, and a limited history, the last turns of the window before, as far as they fit into a share of the
 budget. A window's loss mask covers the texts of its new assistant turns; repeated turns are context only, so each target counts once.
 
-The turns are dealt out by conversation and sorted, and each task reads its rows as a stream that holds the turns of one window and one history
-at a time, so a conversation of any length needs bounded memory. What is dealt out is the conversation, never the role or the text.
+Tokens are counted where the turns are read, so that work is spread whatever conversation they are of. Then the turns are dealt out by conversation
+and sorted, and each task reads its rows as a stream that holds the turns of one window and one history at a time: a conversation of any length
+needs bounded memory, and its task only adds numbers and joins texts.
 
 Template: `### Role` line end, text, `</turn>` line end; inside roles and texts a backslash is put before `\\`, `###` and `</turn>`, and
 line ends in roles become `\\n`. The inverse removes exactly these, so every text comes back as it was.
@@ -136,29 +137,36 @@ def windows(conversations: DataFrame, tokenizer: str, budget: int = BUDGET, hist
     named = conversations.select("conv_id", "turn", empty("role"), empty("text"))
     kind = named.schema["conv_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = load_tokenizer(tokenizer)
+        for whole in batches:
+            for at in range(0, whole.num_rows, _BATCH):
+                b = whole.slice(at, _BATCH)
+                made = [format_turn(r, t)[0] for r, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+                tokens = [len(e.ids) for e in library.encode_batch_fast(made, add_special_tokens=False)]
+                yield pa.record_batch([*b.columns, pa.array(tokens, pa.int64())], names=["conv_id", "turn", "role", "text", "tokens"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, current, schema, rows = None, None, None, []
         for whole in batches:
             schema = schema or _windows_schema(whole.column(0).type)
             for at in range(0, whole.num_rows, _BATCH):
                 b = whole.slice(at, _BATCH)
-                ids, roles = b.column(0).to_pylist(), b.column(2).to_pylist()
-                made = [format_turn(r, t) for r, t in zip(roles, b.column(3).to_pylist())]
-                tokens = [len(e.ids) for e in library.encode_batch_fast([m[0] for m in made], add_special_tokens=False)]
-                for conv, role, turn, n in zip(ids, roles, made, tokens):
+                for conv, role, text, n in zip(*(b.column(c).to_pylist() for c in ("conv_id", "role", "text", "tokens"))):
                     if open_ is None or conv != current:
                         if open_:
                             rows += [{"conv_id": current, **w} for w in open_.end()]
                         open_, current = Windows(budget, history_turns, history_share), conv
-                    rows += [{"conv_id": current, **w} for w in open_.add((*turn, n, role))]
+                    rows += [{"conv_id": current, **w} for w in open_.add((*format_turn(role, text), n, role))]
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
                     rows = []
         if open_ and (rows := [{"conv_id": current, **w} for w in open_.end()]):
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    dealt = named.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    turn = named.schema["turn"].dataType.simpleString()
+    counted = named.mapInArrow(count, f"conv_id {kind}, turn {turn}, role string, text string, tokens bigint")
+    dealt = counted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return dealt.mapInArrow(run, f"conv_id {kind}, window bigint, first_turn bigint, n_repeated int, n_new int, tokens bigint, over_budget boolean, text string, loss array<struct<start:int,end:int>>")
 
 
