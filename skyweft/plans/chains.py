@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -49,8 +48,7 @@ def replay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream through five-minute windows behind a 30-minute watermark, run until nothing is left: (slot, n_rows)."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     name = f"skyweft_{uuid.uuid4().hex}"
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skyweft-")
-    root = f"{shared.rstrip('/')}/{name}"
+    root = f"{checkpoints.shared_folder(spark)}/{name}"
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/event[s].parquet")
     counted = slots.stream_counts(slots.as_utc(stream, "ts")).select(F.unix_timestamp("slot").alias("slot"), "n_rows")
 
