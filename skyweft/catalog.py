@@ -196,6 +196,13 @@ def cubic_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grids.between(_dem(spark, sf_dir), target, "cubic", step=RES).select("r", "c", F.round("elevation", 6).alias("elevation"))
 
 
+def method_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What nearest and block resampling make of one target."""
+    target = grids.target_grid(spark, 110.005, 21.005, 111.9, 21.39, 0.05)
+    made = grids.compare_methods(_dem(spark, sf_dir), target, 0.05, ("fast_nearest", "block_average"))
+    return made.select("method", "n_valid", *(F.round(c, 6).alias(c) for c in ("min", "max", "mean")))
+
+
 def point_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grids.at_points(_national(spark, sf_dir), _dem(spark, sf_dir).select("r", "c", "id"), ["id"], 109.99, 20.99, RES).select("seq", F.col("id").cast("double").alias("cell"))
 
@@ -477,6 +484,21 @@ def not_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.select("id", F.when(F.col("v") == 0, 0.0).otherwise(scoring.band(F.col("v"), 0)).alias("v"))
 
 
+def request_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as requests of their hour, their values as seconds, one in nine failed."""
+    asked = _events(spark, sf_dir).select(slots.floor_slot(F.col("ts"), 3600).alias("slot"), F.floor(F.abs("value")).alias("seconds"), F.when(F.col("event_id") % 9 == 4, "x").alias("error"))
+    made = station_feed.request_timings(asked)
+    return made.select(_epoch("slot"), "n_requests", "n_errors", F.col("longest_seconds").cast("double").alias("longest_seconds"), F.col("total_seconds").cast("double").alias("total_seconds"))
+
+
+def latest_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest update of each hundred rows of the feed, in the formats that services use."""
+    minute = F.format_string("2024-01-01 00:%02d:00", "update_minute")
+    said = F.when(F.col("seq") % 5 == 0, F.replace(minute, F.lit("-"), F.lit("/"))).when(F.col("seq") % 7 == 0, "soon").otherwise(minute)
+    rows = view(spark, sf_dir, "fx_raw_feed").select(F.floor(F.col("seq") / 100).cast("bigint").alias("part"), said.alias(cleaning.UPDATE_FIELD))
+    return station_feed.latest_update(rows, ("part",)).select("part", F.unix_timestamp("latest_update").alias("updated"))
+
+
 def feed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses made of the raw feed, a hundred stations each, one in seven without a field: read, cleaned, the best row a code."""
     raw = view(spark, sf_dir, "fx_raw_feed").where("v_code IS NOT NULL").withColumn("part", F.floor(F.col("seq") / 100).cast("bigint"))
@@ -520,11 +542,11 @@ def stream_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     clean_feed, clean_sentinels, clean_fallback, code_normalize, dedup_best_quality, dedup_first_wins, sample_counts, geo_distance_km, aniso_distance,
     knn4_stations, estimate_national, estimate_combined, idw_all_candidates, idw_top_n, idw_all_candidates_arrow, idw_top_n_arrow, pipeline_national, pipeline_combined, nearest_cell, verify_detail, verify_stats,
-    summary_mean_of_means, model_boxplot_stats, model_monthly, grid_target, fast_nearest, block_average, linear_resample, cubic_resample, point_cells, tile_bbox, tile_gap_pairs, tile_gap_pairs_corrected,
+    summary_mean_of_means, model_boxplot_stats, model_monthly, grid_target, fast_nearest, block_average, linear_resample, cubic_resample, method_comparison, point_cells, tile_bbox, tile_gap_pairs, tile_gap_pairs_corrected,
     unified_axes, axis_spacing, overlap_average, tile_strict_merge, coverage_report, fill_nearest, fill_neighborhood, fill_linear, sobel_gradient, tpi, tpi_wide,
     tpi_thresholds_quantile, tpi_thresholds_zscore, tpi_thresholds_mad, tpi_class, tpi_blocks, fog_classes, fog_band_stats, grid_stats, color_bins, bbox_mask,
     polygon_mask, value_cdf, value_log_bins, method_correlation, leave_one_out, estimate_counts, slot5_counts, slot_window, hourly_slots, anti_published, growth_filter, queue_claim, status_tally,
-    late_rescan, slot_fields, slot_texts, state_merge, queue_enqueue, queue_results, work_order, month_trend, marker_sums, union_common, not_negative, feed_tables, chain_dem_build, gaussian_smooth, smooth_steep_cells, dilation, stream_slots,
+    late_rescan, slot_fields, slot_texts, state_merge, queue_enqueue, queue_results, work_order, month_trend, marker_sums, union_common, not_negative, request_timings, latest_update, feed_tables, chain_dem_build, gaussian_smooth, smooth_steep_cells, dilation, stream_slots,
 )}
 
 __all__ = ["ORACLES", "QUERIES"]

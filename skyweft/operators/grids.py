@@ -6,6 +6,7 @@ Coordinates of a regular axis are turned into integers once; every lookup is the
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -195,6 +196,16 @@ def resample(source: DataFrame, target: DataFrame, method: str = "fast_nearest",
     raise ValueError(f"unknown method: {method}")
 
 
+def compare_methods(source: DataFrame, target: DataFrame, resolution: float, methods: Sequence[str] = ("fast_nearest", "block_average", "linear", "cubic"), value: str = "elevation") -> DataFrame:
+    """(method, seconds, n_valid, min, max, mean), the fastest first: what each method makes of the same target."""
+    rows = []
+    for method in methods:
+        began = time.perf_counter()
+        found = resample(source, target, method, resolution, value).agg(F.count(value), F.min(value), F.max(value), F.avg(value)).first()
+        rows.append((method, time.perf_counter() - began, *found))
+    return source.sparkSession.createDataFrame(rows, "method string, seconds double, n_valid bigint, min double, max double, mean double").orderBy("seconds")
+
+
 def at_points(points: DataFrame, source: DataFrame, columns: Sequence[str], west: float, south: float, step: float) -> DataFrame:
     """points (lat, lon) with columns of the cell they lie in (edges truncated downwards); NULLs outside."""
     inside = points.withColumns({"__r": F.floor((F.col("lat") - south) / step).cast("bigint"), "__c": F.floor((F.col("lon") - west) / step).cast("bigint")})

@@ -213,6 +213,13 @@ ORACLES = {
     "block_average": f"""{cte('fx_dem')}, {_FRAME}, {_target(110.005, 21.005, 9, 39, 0.05)},
         p AS (SELECT t.r, t.c, CAST(floor((lat - y0) / 0.02) AS BIGINT) AS pr, CAST(floor((lon - x0) / 0.02) AS BIGINT) AS pc, lat BETWEEN y0 AND y1 AND lon BETWEEN x0 AND x1 AS inside FROM t, f)
         SELECT p.r, p.c, round(avg(g.elevation), 6) AS elevation FROM p LEFT JOIN fx_dem g ON p.inside AND g.r BETWEEN p.pr - 1 AND p.pr + 1 AND g.c BETWEEN p.pc - 1 AND p.pc + 1 GROUP BY 1, 2""",
+    "method_comparison": f"""{cte('fx_dem')}, {_FRAME}, {_target(110.005, 21.005, 9, 39, 0.05)},
+        p AS (SELECT t.r, t.c, lat BETWEEN y0 AND y1 AND lon BETWEEN x0 AND x1 AS inside, least(nr, CAST(round_even((lat - y0) / ((y1 - y0) / nr), 0) AS BIGINT)) AS pr, least(nc, CAST(round_even((lon - x0) / ((x1 - x0) / nc), 0) AS BIGINT)) AS pc,
+            CAST(floor((lat - y0) / ((y1 - y0) / nr)) AS BIGINT) AS br, CAST(floor((lon - x0) / ((x1 - x0) / nc)) AS BIGINT) AS bc FROM t, f),
+        a AS (SELECT g.elevation FROM p JOIN fx_dem g ON inside AND p.pr = g.r AND p.pc = g.c),
+        b AS (SELECT avg(g.elevation) AS elevation FROM p JOIN fx_dem g ON inside AND g.r BETWEEN p.br - 1 AND p.br + 1 AND g.c BETWEEN p.bc - 1 AND p.bc + 1 GROUP BY p.r, p.c)
+        SELECT 'fast_nearest' AS method, count(elevation) AS n_valid, round(min(elevation), 6) AS min, round(max(elevation), 6) AS max, round(avg(elevation), 6) AS mean FROM a
+        UNION ALL SELECT 'block_average', count(elevation), round(min(elevation), 6), round(max(elevation), 6), round(avg(elevation), 6) FROM b""",
     "linear_resample": f"""{cte('fx_dem')}, {_FRAME}, {_target(110.003, 21.007, 10, 32, 0.033)},
         p AS (SELECT t.r, t.c, (lat - y0) / 0.02 AS y, (lon - x0) / 0.02 AS x, nr, nc FROM t, f WHERE lat BETWEEN y0 AND y1 AND lon BETWEEN x0 AND x1),
         q AS (SELECT r, c, CAST(least(floor(y), nr - 1) AS BIGINT) AS iy, CAST(least(floor(x), nc - 1) AS BIGINT) AS ix, y - least(floor(y), nr - 1) AS fy, x - least(floor(x), nc - 1) AS fx FROM p),
@@ -305,6 +312,8 @@ ORACLES = {
     "marker_sums": f"""{cte('fx_raw_feed')} SELECT seq % 50 AS part, CASE WHEN count(*) = count(m) THEN sum(m)::DOUBLE END AS marker FROM (SELECT seq, CASE WHEN seq % 77 <> 5 THEN update_minute END AS m FROM fx_raw_feed) GROUP BY 1""",
     "union_common": f"{cte('fx_national', 'fx_regional')} SELECT seq, vis FROM fx_national UNION ALL SELECT seq, vis FROM fx_regional",
     "not_negative": f"{cte('fx_dem')} SELECT id, CASE WHEN elevation >= 700 THEN elevation - 700 END AS v FROM fx_dem",
+    "request_timings": f"SELECT {_HOUR} AS slot, count(*) AS n_requests, count(*) FILTER (event_id % 9 = 4) AS n_errors, max(floor(abs(value))) AS longest_seconds, sum(floor(abs(value))) AS total_seconds FROM events GROUP BY 1",
+    "latest_update": f"""{cte('fx_raw_feed')} SELECT CAST(floor(seq / 100) AS BIGINT) AS part, max(CASE WHEN seq % 5 = 0 OR seq % 7 <> 0 THEN 1704067200 + 60 * update_minute END)::BIGINT AS updated FROM fx_raw_feed GROUP BY 1""",
     "feed_tables": f"""{cte('fx_raw_feed')}, {_FEED}, w AS (SELECT *, CAST(floor(seq / 100) AS BIGINT) AS part FROM feed WHERE code IS NOT NULL),
         k AS (SELECT * FROM w WHERE part % 7 <> 3 QUALIFY row_number() OVER (PARTITION BY part, code ORDER BY (CASE WHEN vis IS NULL THEN 0 ELSE 1 END + CASE WHEN rh IS NULL THEN 0 ELSE 1 END) DESC, update_minute DESC, seq) = 1),
         b AS (SELECT part, count(code) AS n_codes, count(vis) AS n_vis, sum(vis) AS vis, sum(rh) AS rh FROM k GROUP BY 1),
