@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .grids import densify
+
 
 def _pad_axis(grid: DataFrame, axis: str, width: int, mode: str, low: int, high: int) -> DataFrame:
     """Copies of the edge lines beyond [low, high]: "nearest" repeats the edge, "reflect" mirrors at it (the edge line twice)."""
@@ -82,7 +84,11 @@ def _line_sums(cells: DataFrame, line: str, at: str, half: int, values: dict[str
 
 def box_sums(grid: DataFrame, half: int, value: str) -> DataFrame:
     """grid with total and n: sum and number of present values in the (2 half + 1)-wide square, edges repeated outwards."""
-    padded = pad(grid.select("r", "c", F.col(value).cast("double").alias("v")), half, "nearest")
+    cells = grid.select("r", "c", F.col(value).cast("double").alias("v"))
+    box = cells.agg(F.min("r"), F.max("r"), F.min("c"), F.max("c"), F.count(F.lit(1))).first()
+    if box[0] is not None and box[4] < (box[1] - box[0] + 1) * (box[3] - box[2] + 1):
+        cells = densify(cells)  # a line's sum is asked for at absent cells too
+    padded = pad(cells, half, "nearest")
     counted = padded.withColumn("k", F.col("v").isNotNull().cast("bigint"))
     along = _line_sums(counted, "r", "c", half, {"v": "s", "k": "m"})
     both = _line_sums(along, "c", "r", half, {"s": "total", "m": "n"})

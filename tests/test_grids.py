@@ -340,3 +340,27 @@ def test_blocks_as_geojson(spark):
 
 def test_file_server_address():
     assert rasters.file_server_url("http://h/thredds/dodsC/a.nc") == "http://h/thredds/fileServer/a.nc"
+
+
+@pytest.mark.parametrize("half", [8, 9, 20])
+def test_wide_box_sums_equal_brute_force(spark, half):
+    """Windows narrower and wider than the grid, with missing and absent cells."""
+    rng = np.random.default_rng(half)
+    a = rng.integers(0, 1000, (23, 31)).astype(float)
+    a[rng.random(a.shape) < 0.1] = np.nan
+    absent = {(3, 4), (22, 30), (10, 10)}
+    rows = [(r, c, None if np.isnan(a[r, c]) else float(a[r, c])) for r in range(23) for c in range(31) if (r, c) not in absent]
+    grid = spark.createDataFrame(rows, "r bigint, c bigint, elevation double")
+    present = {(r, c): v for r, c, v in rows if v is not None}
+    found = {(x.r, x.c): (x.total, x.n) for x in stencils.box_sums(grid, half, "elevation").collect()}
+    assert len(found) == len(rows)
+    for r, c, _ in rows[::37]:
+        near = [present[k] for dr in range(-half, half + 1) for dc in range(-half, half + 1) if (k := (min(22, max(0, r + dr)), min(30, max(0, c + dc)))) in present]
+        assert found[r, c] == (pytest.approx(sum(near)), len(near))
+
+
+def test_tiles_of_one_directory_meet_once(spark):
+    boxes = spark.createDataFrame([(i, 20.0 + i // 12, 21.0 + i // 12, 110.0 + i % 12, 111.0 + i % 12) for i in range(144)], "tile_id int, lat_min double, lat_max double, lon_min double, lon_max double")
+    found = [(r.tile_a, r.tile_b) for r in grids.tile_relations(boxes, 0.01, "either").collect()]
+    want = [(a, b) for a in range(144) for b in range(a + 1, 144) if abs(a // 12 - b // 12) <= 1 and abs(a % 12 - b % 12) <= 1]
+    assert sorted(found) == want

@@ -159,3 +159,47 @@ def test_metrics_and_readiness():
     assert service.readiness(True, False, True, True, True) == (200, "ready")
     assert service.readiness(True, False, True, True, False) == (200, "degraded")
     assert service.readiness(True, True, True, True, True)[0] == service.readiness(True, False, False, True, True)[0] == 503
+
+
+def test_a_cycle_starts_two_minutes_behind_its_slot():
+    assert [m for m in range(60) if slots.due_slot(at(8, m))] == list(range(2, 60, 5))
+    assert slots.due_slot(at(8, 57)) == at(8, 55) and slots.due_slot(at(8, 0)) is None
+
+
+def test_no_state_is_lost_between_two_writers(spark, tmp_path):
+    a, b = state(spark, tmp_path), state(spark, tmp_path)
+    change = lambda minute, n: spark.createDataFrame([(at(8, minute), {"n": n}, "success", None)], "slot timestamp, counts map<string,bigint>, status string, error string")
+    a.update(change(0, 1))
+    seen = a.version()
+    b.update(change(5, 2))
+    with pytest.raises(slots.Conflict):
+        a._commit(slots.merge_state(a.read(seen), change(10, 3)), seen + 1)
+    a.update(change(10, 3))
+    assert {r.slot.minute: r.last_processed["n"] for r in b.read().collect()} == {0: 1, 5: 2, 10: 3}
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    """The state was committed, the stream's own commit was lost with the driver."""
+    files(spark, tmp_path, [(i, at(8, i % 10), i % 4, 1.0) for i in range(40)], [(100 + i, at(8, 3), 9, 1.0) for i in range(5)])
+    table, published = state(spark, tmp_path), []
+    stream = lambda: spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    run = lambda: slots.run_stream(stream(), table, lambda chosen: published.append(chosen.count()), f"{tmp_path}/checkpoint").awaitTermination()
+    run()
+    before, times = sorted(map(str, table.read().collect())), len(published)
+    for name in ("1", ".1.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink()
+    run()
+    assert sorted(map(str, table.read().collect())) == before and len(published) == times == 2
+
+
+def test_a_lock_taken_over_is_not_released_by_who_lost_it(spark, tmp_path):
+    path = f"file://{tmp_path}/lock"
+    first, second = service.CycleLock(spark, path), service.CycleLock(spark, path, lease_seconds=-1)
+    assert first.__enter__() and first.held and first.renew()
+    assert second.__enter__() and second.held
+    assert not first.held and not first.renew()
+    first.__exit__()
+    assert second.held and not service.CycleLock(spark, path).__enter__()
+    second.__exit__()
+    with service.CycleLock(spark, path) as again:
+        assert again

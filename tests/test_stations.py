@@ -1,5 +1,6 @@
 import http.server
 import threading
+import time
 
 import numpy as np
 import pytest
@@ -172,3 +173,56 @@ def test_empty_and_null_stations(spark):
     none = national(spark).withColumn("vis", F.lit(None).cast("double"))
     assert [r.v for r in visibility.interpolate(cells, none).collect()] in ([], [None])
     assert visibility.estimate(national(spark), regional(spark).limit(0), True).count() == 2
+
+
+def test_service_retries_bounds_requests_and_tells_everything(spark):
+    """Bounded concurrency, timings, bodies in errors, and every failure as a row."""
+    active, most, asked, guard = 0, 0, {}, threading.Lock()
+
+    class Answer(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            nonlocal active, most
+            with guard:
+                active += 1
+                most = max(most, active)
+                asked[self.path] = asked.get(self.path, 0) + 1
+                tries = asked[self.path]
+            time.sleep(0.05)
+            name = self.path.split("province=")[1].split("&")[0]
+            status, body = {"down": (503, b"out of order"), "binary": (200, b"\xff\xfe\xfa"), "late": (200 if tries > 1 else 500, f"1\n{HEAD}\nN1,x,c,d,113,23,10,80,1000,,\n".encode())}.get(name, (200, b"upstream error"))
+            with guard:
+                active -= 1
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    spark.dataSource.register(feed.StationService)
+    options = {"url": f"http://127.0.0.1:{server.server_port}/x", "provinces": "down,binary,late,odd", "slots": "2024-01-01T08:00:00,2024-01-01T08:05:00", "slot_format": "%Y%m%d%H%M%S", "interfaces": "national=A1,regional=B2", "retries": "2", "concurrency": "2", "pwd": "secret"}
+    responses = spark.read.format("stations").options(**options).load().cache()
+    rows = responses.collect()
+    server.shutdown()
+    assert len(rows) == 16 and most <= 2 and all(r.seconds > 0 and "secret" not in f"{r.url}{r.error}" for r in rows)
+    assert any("kind=A1" in p and "slot=20240101080500" in p and "pwd=secret" in p for p in asked)
+    told = {r.province: (r.attempts, r.error) for r in rows}
+    assert told["late"] == (2, None) and told["down"][0] == 2 and "503" in told["down"][1] and "out of order" in told["down"][1]
+    assert "isn't UTF-8" in told["binary"][1] and "pwd=%2A%2A%2A" in told["down"][1]
+    read = {r.source: r for r in feed.parsed(responses, source="province").collect()}
+    assert "no count line" in read["odd"].error and "upstream error" in read["odd"].error and read["late"].V01301 == "N1" and read["late"].marker == 1
+    timings = feed.request_timings(responses).collect()
+    assert len(timings) == 2 and all(t.n_requests == 8 and t.n_errors == 4 and t.total_seconds >= t.longest_seconds > 0 for t in timings)
+    assert [r.complete for r in feed.complete(responses).collect()] == [True, True]
+    assert [r.complete for r in feed.complete(responses.where("province = 'down'")).collect()] == [False, False]
+
+
+def test_many_stations_in_a_slot_are_searched_over_rings(spark):
+    rng = np.random.default_rng(8)
+    rows = [(s, i, float(rng.uniform(20, 25)), float(rng.uniform(110, 115))) for s in (1, 2) for i in range(60 if s == 1 else 3)]
+    stations = spark.createDataFrame(rows, "slot int, seq bigint, lat double, lon double")
+    targets = spark.createDataFrame([(s, i, float(rng.uniform(20, 25)), float(rng.uniform(110, 115))) for s in (1, 2) for i in range(20)], "slot int, id int, lat double, lon double")
+    flat = lambda most: sorted((r.slot, r.id, [n.seq for n in r.near]) for r in neighbours.nearest_stations(targets, stations, 4, (), ["slot"], max_stations=most).collect())
+    assert flat(10) == flat(1000) and [len(n) for s, _, n in flat(10) if s == 2] == [3] * 20
