@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .shared import ids_and_text, materialize, numbered
 
-COUNTERS = 1024
+COUNTERS = 256
 MERGE_WAYS = 64
 _SUMMARY = "digest binary, n bigint"
 
