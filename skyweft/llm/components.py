@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import _materialized, drop
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -28,12 +28,15 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) of orderable ids -> (v, root) for each vertex that isn't its component's smallest; loops and repeats are ignored.
 
-    The number of rounds is logarithmic in the number of vertices; each round's table is written to the shared folder.
+    The number of rounds is logarithmic in the number of vertices; each round's table is written to the shared folder and replaces the one before.
     """
-    now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    spark = edges.sparkSession
+    now, path = _materialized(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     seen = _mark(now)
     while seen[0]:
-        now = materialize(_stars(_stars(now, large=True), large=False), "edges")
+        before = path
+        now, path = _materialized(_stars(_stars(now, large=True), large=False), "edges")
+        drop(spark, before)
         mark = _mark(now)
         if mark == seen:
             break

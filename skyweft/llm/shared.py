@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +38,39 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/skyweft/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: lineage ends there, and a lost executor costs no earlier stage."""
+_scratch = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written inside (but for what is to be kept) is deleted at the end, so nothing that is used later may still read it."""
+    opened = _scratch.__dict__.setdefault("tables", [])
+    opened.append([])
+    try:
+        yield
+    finally:
+        for path in opened.pop():
+            drop(spark, path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialize(df: DataFrame, name: str, codec: str = "zstd", keep: bool = False) -> DataFrame:
+    """Writes df as Parquet into the shared folder and reads it back: lineage ends there, and a lost executor costs no earlier stage. keep: the table
+    outlives the innermost scratch()."""
+    return _materialized(df, name, codec, keep)[0]
+
+
+def _materialized(df: DataFrame, name: str, codec: str = "zstd", keep: bool = False) -> tuple[DataFrame, str]:
     path = fresh_path(df.sparkSession, name)
+    opened = _scratch.__dict__.get("tables", [])
+    if len(opened) > keep:
+        opened[-1 - keep].append(path)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def numbered(df: DataFrame) -> tuple[DataFrame, str]:

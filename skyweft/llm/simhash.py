@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import ids_and_text, materialize, numbered
+from .shared import ids_and_text, materialize, numbered, scratch
 from .tokenizing import release
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
@@ -195,15 +195,17 @@ def grouped(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     row of that id (the first of several; of a component without ids any)."""
     # a row with an id goes before those without
     row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
-    vertices = fps.groupBy("fp").agg(F.min("rid").alias("rep"), row.alias("row"))
-    vertices = materialize(vertices.select("fp", "rep", "row", *coordinates(F.col("fp"))), "pivot-table")
-    stars, between = links(vertices.select("fp", "rep", *TABLE), distance)
-    joined = components(between)
-    labels = vertices.select("fp", "rep", "row").join(stars.select(F.col("v").alias("rep"), F.col("root").alias("r1")), "rep", "left")
-    labels = labels.withColumn("r1", F.coalesce("r1", "rep")).join(joined.select(F.col("v").alias("r1"), F.col("root").alias("r2")), "r1", "left")
-    labels = materialize(labels.select("fp", "row", F.coalesce("r2", "r1").alias("root")), "labels")
-    first = materialize(labels.groupBy("root").agg(F.min("row").alias("first")), "components")
-    return labels.select("fp", "root").join(first, "root").select("fp", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("first"))
+    with scratch(fps.sparkSession):
+        vertices = fps.groupBy("fp").agg(F.min("rid").alias("rep"), row.alias("row"))
+        vertices = materialize(vertices.select("fp", "rep", "row", *coordinates(F.col("fp"))), "pivot-table")
+        stars, between = links(vertices.select("fp", "rep", *TABLE), distance)
+        joined = components(between)
+        labels = vertices.select("fp", "rep", "row").join(stars.select(F.col("v").alias("rep"), F.col("root").alias("r1")), "rep", "left")
+        labels = labels.withColumn("r1", F.coalesce("r1", "rep")).join(joined.select(F.col("v").alias("r1"), F.col("root").alias("r2")), "r1", "left")
+        labels = materialize(labels.select("fp", "row", F.coalesce("r2", "r1").alias("root")), "labels")
+        first = materialize(labels.groupBy("root").agg(F.min("row").alias("first")), "components")
+        found = labels.select("fp", "root").join(first, "root").select("fp", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("first"))
+        return materialize(found, "groups", keep=True)
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

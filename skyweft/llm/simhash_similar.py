@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialize, numbered
+from .shared import materialize, numbered, scratch
 from .simhash import TABLE, apart, coordinates, majority, may_be_within, shingle_hashes
 from .tokenizing import release
 
@@ -225,12 +225,16 @@ def survivors(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_co
     """docs without the rows of a component other than the one with the smallest id; their columns as they are."""
     rows, rid = numbered(docs)
     texts = rows.select(F.col(rid).alias("rid"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signs = materialize(signatures(texts, width), "signatures")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
-    sets = materialize(signs.groupBy("digest").agg(first), "sets")
-    vertices = signs.join(sets.select(F.col("first.rid").alias("v")), F.col("rid") == F.col("v"))
-    vertices = materialize(vertices.select("v", "n", "fp", "keys", *coordinates(F.col("fp"))), "pivot-table")
-    found = components(links(vertices, texts.select(F.col("rid").alias("v"), "text"), width, percent))
-    roots = sets.select(F.col("first.rid").alias("m"), "first").join(found, F.col("m") == F.col("v"), "left").select("first", F.coalesce("root", "m").alias("root"))
-    stay = roots.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias(rid))
+    with scratch(docs.sparkSession):
+        signs = materialize(signatures(texts, width), "signatures")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
+        sets = materialize(signs.groupBy("digest").agg(first), "sets")
+        vertices = signs.join(sets.select(F.col("first.rid").alias("v")), F.col("rid") == F.col("v"))
+        vertices = materialize(vertices.select("v", "n", "fp", "keys", *coordinates(F.col("fp"))), "pivot-table")
+        with scratch(docs.sparkSession):
+            linked = materialize(links(vertices, texts.select(F.col("rid").alias("v"), "text"), width, percent), "links", keep=True)
+        found = components(linked)
+        roots = sets.select(F.col("first.rid").alias("m"), "first").join(found, F.col("m") == F.col("v"), "left").select("first", F.coalesce("root", "m").alias("root"))
+        stay = roots.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias(rid))
+        stay = materialize(stay, "stay", keep=True)
     return rows.join(stay, rid, "left_semi").drop(rid)
