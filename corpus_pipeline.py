@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skyweft.llm import exact_dedup, packing, quality_rules, simhash_similar
-from skyweft.llm.shared import fresh_path
+from skyweft.llm.shared import fresh_path, scratch
 from skyweft.llm.tokenizing import tokenizer_path
 
 
@@ -42,6 +42,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = fresh_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
