@@ -1,27 +1,32 @@
 """The k nearest stations of every target, exactly, without comparing all pairs.
 
-Targets are dealt into square blocks, coarse ones first. For a block with centre c and radius r, each target's k nearest stations lie within
-D_k(c) + 2r of c (triangle inequality, D_k the distance of the k-th nearest to c), so a block keeps only those of its parent's candidates,
-and a target ranks only its own block's. Blocks are few beside targets and the candidates of a block are an array of some dozen entries, so the
-only shuffle of the targets is their join with the blocks; ranking is done within a row.
-
-The stations of one time slot are a dimension table: the top block's array holds them all. Their number is checked; beyond `MAX_STATIONS` the
-stations are joined to the targets' blocks over rings of neighbouring blocks instead.
+Targets are dealt into boxes, coarse ones first. Any k stations (pivots, here those nearest to a box's centre) bound what a box needs: a station that is
+farther from each of the box's corners than all pivots are has k stations nearer to every place in the box, as the places nearer to one station than
+to another are a half-plane and a box is convex. So a box keeps those of its parent's stations that some corner reaches, wherever it lies, and a target
+ranks only its own box's. Boxes are few beside targets; the only shuffle of the targets is their join with the boxes, and ranking is done within a row.
+
+Up to `LISTED` stations of a time slot are one array at the top. More are dealt into blocks of some hundred, finer where stations are dense. Coarse boxes
+keep blocks, by the blocks' bounds and with the outermost stations of blocks as pivots, then take their stations, and finer boxes keep stations. Of stations
+at one place only the k that ties prefer can be anyone's neighbours; the others are left out first.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import checkpoints
 from ..functions.geo import degrees_apart
 
-BLOCKS = (3.2, 0.2)
+SIZES = (0.05, 0.2, 0.8, 3.2, 12.8)
+LISTED = 5_000
+BLOCK = 128
+TAKEN = 50_000
 MAX_STATIONS = 200_000
 SLACK = 1e-9
+BOUNDS = ("y0", "y1", "x0", "x1")
 
 
 def _bound(value: Column, body) -> Column:
@@ -35,44 +40,65 @@ def ranked(stations: Column, lat: Column, lon: Column, k: int) -> Column:
     return F.slice(F.sort_array(with_d), 1, k)
 
 
-def _pruned(stations: Column, lat: Column, lon: Column, radius: Column, k: int) -> Column:
-    """The stations that a target within radius of (lat, lon) can have among its k nearest."""
+def _corners() -> list[tuple[Column, Column]]:
+    return [(F.col(y), F.col(x)) for y in ("y0", "y1") for x in ("x0", "x1")]
+
+
+def _reached(items: Column, pivots: Column, k: int, distance) -> Column:
+    """Of items those that the row's box (y0, y1, x0, x1) can need for k neighbours: distance(item, lat, lon) of some corner is no more than that of the
+    farthest of k pivots (lat, lon)."""
+    lat, lon = (F.col("y0") + F.col("y1")) / 2, (F.col("x0") + F.col("x1")) / 2
+    near = F.slice(F.sort_array(F.transform(pivots, lambda p: F.struct(degrees_apart(lat, lon, p["lat"], p["lon"]).alias("d"), p["lat"].alias("lat"), p["lon"].alias("lon")))), 1, k)
+    farthest = lambda ps, y, x: F.array_max(F.transform(ps, lambda p: degrees_apart(y, x, p["lat"], p["lon"]))) + SLACK
+    reach = _bound(near, lambda ps: F.struct(*(farthest(ps, y, x).alias(f"d{i}") for i, (y, x) in enumerate(_corners()))))
+
+    def kept(r: Column, item: Column) -> Column:
+        a, b, c, d = (distance(item, y, x) <= r[f"d{i}"] for i, (y, x) in enumerate(_corners()))
+        return a | b | c | d
+
+    return F.when(F.size(pivots) < k, items).otherwise(_bound(reach, lambda r: F.filter(items, lambda item: kept(r, item))))
+
 
-    distance = lambda s: degrees_apart(lat, lon, s["lat"], s["lon"])
-    reach = F.element_at(F.sort_array(F.transform(stations, distance)), k) + 2 * radius + SLACK
-    return F.when(F.size(stations) <= k, stations).otherwise(_bound(reach, lambda r: F.filter(stations, lambda s: distance(s) <= r)))
+def _to_station(s: Column, lat: Column, lon: Column) -> Column:
+    return degrees_apart(lat, lon, s["lat"], s["lon"])
 
 
-def _names(level: int) -> list[str]:
+def _to_block(b: Column, lat: Column, lon: Column) -> Column:
+    return degrees_apart(F.greatest(F.least(lat, b["y1"]), b["y0"]), F.greatest(F.least(lon, b["x1"]), b["x0"]), lat, lon)
+
+
+def _keys(level: int) -> list[str]:
     return [f"__y{level}", f"__x{level}"]
 
 
-def _block(size: float, level: int = 0) -> list[Column]:
-    y, x = _names(level)
-    return [F.floor(F.col("lat") / size).cast("bigint").alias(y), F.floor(F.col("lon") / size).cast("bigint").alias(x)]
+def _boxed(rows: DataFrame, level: int, finer: int) -> DataFrame:
+    """rows of boxes with the keys of their boxes of a coarser level: each side is four times as long."""
+    return rows.withColumns({c: F.shiftright(f, 2 * (level - finer)) for c, f in zip(_keys(level), _keys(finer))})
+
 
+def _bounds(lat: str, lon: str) -> list[Column]:
+    return [f(c).alias(n) for n, f, c in zip(BOUNDS, (F.min, F.max) * 2, (lat, lat, lon, lon))]
 
-def nearest_stations(targets: DataFrame, stations: DataFrame, k: int, payload: Sequence[str], by: Sequence[str] = (), blocks: Sequence[float] = BLOCKS, max_stations: int = MAX_STATIONS) -> DataFrame:
+
+def nearest_stations(targets: DataFrame, stations: DataFrame, k: int, payload: Sequence[str], by: Sequence[str] = (), max_stations: int = LISTED) -> DataFrame:
     """targets (lat, lon, ...) with a column `near`: an array of struct(d, seq, s) of up to k stations, nearest first, ties by seq. s has lat,
     lon, seq and the payload columns. by: columns, such as a time slot, that both sides must share. Targets without a place or, by group, without
-    stations have no row."""
+    stations have no row. More than max_stations in a group are searched by blocks."""
     by = list(by)
     entry = F.struct("lat", "lon", "seq", *(c for c in payload if c not in ("lat", "lon", "seq")))
+    stations = stations.na.drop(subset=["lat", "lon"])
+    placed = targets.na.drop(subset=["lat", "lon"]).withColumns({c: F.floor(F.col(x) / SIZES[0]) for c, x in zip(_keys(0), ("lat", "lon"))})
+    finest = placed.groupBy(*by, *_keys(0)).agg(*_bounds("lat", "lon"))
     if _most(stations, by, max_stations) > max_stations:
-        return _plain(targets, stations, k, entry, by)
-    level = stations.groupBy(*by).agg(F.collect_list(entry).alias("__st"))
-    tiled = targets.na.drop(subset=["lat", "lon"])
-    for i, size in enumerate(blocks):
-        tiled = tiled.select("*", *_block(size, i))
-    above: list[str] = []
-    for i in range(len(blocks)):
-        keys = [n for level_ in range(i + 1) for n in _names(level_)]
-        box = tiled.groupBy(*by, *keys).agg(F.min("lat").alias("y0"), F.max("lat").alias("y1"), F.min("lon").alias("x0"), F.max("lon").alias("x1"))
-        joined = box.join(level, by + above) if by + above else box.crossJoin(F.broadcast(level))
-        lat, lon = (F.col("y0") + F.col("y1")) / 2, (F.col("x0") + F.col("x1")) / 2
-        level = joined.select(*by, *keys, _pruned(F.col("__st"), lat, lon, degrees_apart(F.col("y1"), F.col("x1"), lat, lon), k).alias("__st"))
-        above = keys
-    found = tiled.join(level, by + above)
+        finest = checkpoints.cut(finest)
+        level, above = _taken(finest, stations, entry, k, by)
+        finer = range(above - 1, -1, -1)
+    else:
+        level, above, finer = stations.groupBy(*by).agg(F.collect_list(entry).alias("__st")), None, (3, 1)
+    for i in finer:
+        box = _under(finest, level, i, above, by)
+        level, above = box.select(*by, *_keys(i), _reached(F.col("__st"), F.col("__st"), k, _to_station).alias("__st")), i
+    found = _boxed(placed, above, 0).join(level, by + _keys(above))
     return found.select(*targets.columns, ranked(F.col("__st"), F.col("lat"), F.col("lon"), k).alias("near"))
 
 
@@ -83,31 +109,44 @@ def _most(stations: DataFrame, by: list[str], limit: int) -> int:
     return stations.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
 
 
-def _plain(targets: DataFrame, stations: DataFrame, k: int, entry: Column, by: list[str]) -> DataFrame:
-    """Any number of stations: each block takes the stations of growing rings of blocks around it, until k of them lie so near that what is outside of the
-    rings is farther. Blocks are sized for about k stations each where a group has most."""
-    groups = stations.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
-    total = groups.agg(F.max("__total")).first()[0] or 0
-    size, ring = max(0.05, math.sqrt(64_800 * k / max(1, total))), 3
-    cells = stations.select(*by, *_block(size), entry.alias("s"))
-    boxes = targets.na.drop(subset=["lat", "lon"]).select(*by, *_block(size)).distinct()
-    boxes = boxes.join(groups, by) if by else boxes.crossJoin(F.broadcast(groups))
-    y, x = _names(0)
-    done, todo = None, boxes
-    while True:
-        offsets = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-ring, ring + 1) for b in range(-ring, ring + 1))))
-        around = todo.select("*", offsets.alias("o")).select(*by, "__total", F.col(y).alias("ty"), F.col(x).alias("tx"), (F.col(y) + F.col("o.a")).alias(y), (F.col(x) + F.col("o.b")).alias(x))
-        lists = around.join(cells, [*by, y, x]).groupBy(*by, "ty", "tx").agg(F.first("__total").alias("__total"), F.collect_list("s").alias("__st"))
-        # k stations within half the rings are at most sqrt(2) * (half + 1) blocks away, what is outside at least `ring` blocks
-        inner = lists.withColumn("n", F.size(F.filter("__st", lambda s: (F.abs(F.floor(s["lat"] / size) - F.col("ty")) <= (ring - 1) // 2) & (F.abs(F.floor(s["lon"] / size) - F.col("tx")) <= (ring - 1) // 2))))
-        enough = inner.where((F.col("n") >= k) | (F.size("__st") >= F.col("__total"))).select(*by, F.col("ty").alias(y), F.col("tx").alias(x), "__st")
-        done = enough if done is None else done.unionByName(enough)
-        todo = todo.join(enough.select(*by, y, x), [*by, y, x], "left_anti")
-        if todo.isEmpty():
-            break
-        ring = 2 * ring + 1
-    found = targets.select("*", *_block(size)).join(done, [*by, y, x])
-    return found.select(*targets.columns, ranked(F.col("__st"), F.col("lat"), F.col("lon"), k).alias("near"))
+def _under(finest: DataFrame, above: DataFrame, level: int, parent: int | None, by: list[str]) -> DataFrame:
+    """The boxes of a level with their bounds and what their boxes of the level above keep (parent None: what there is)."""
+    box = _boxed(finest, level, 0).groupBy(*by, *_keys(level)).agg(*(f(c).alias(c) for f, c in zip((F.min, F.max) * 2, BOUNDS)))
+    if parent is None:
+        return box.join(above, by) if by else box.crossJoin(F.broadcast(above))
+    return _boxed(box, parent, level).join(above, by + _keys(parent))
+
+
+def _blocks(stations: DataFrame, entry: Column, k: int, by: list[str]) -> DataFrame:
+    """Stations in blocks of about BLOCK: squares of the coarse lattice, halved as often as their own number asks for."""
+    here = Window.partitionBy(*by, "lat", "lon").orderBy("seq")
+    first = stations.withColumn("__n", F.row_number().over(here)).where(F.col("__n") <= k)
+    size, square = SIZES[3], ["__sy", "__sx"]
+    dealt = first.select(*by, "lat", "lon", F.floor(F.col("lat") / size).alias("__sy"), F.floor(F.col("lon") / size).alias("__sx"), entry.alias("s"))
+    halved = F.least(F.greatest(F.ceil(F.log2(F.count(F.lit(1)) / BLOCK) / 2), F.lit(0)), F.lit(20))
+    cut = dealt.join(dealt.groupBy(*by, *square).agg((size / F.pow(F.lit(2.0), halved)).alias("__size")), by + square)
+    place = F.struct("lat", "lon", F.col("s.seq").alias("seq"))
+    outer = F.array_distinct(F.array(F.min_by(place, "lat"), F.max_by(place, "lat"), F.min_by(place, "lon"), F.max_by(place, "lon")))
+    key = F.struct(*square, F.floor(F.col("lat") / F.col("__size")).alias("y"), F.floor(F.col("lon") / F.col("__size")).alias("x"))
+    return cut.groupBy(*by, key.alias("__id")).agg(*_bounds("lat", "lon"), outer.alias("outer"), F.collect_list("s").alias("__s"))
+
+
+def _taken(finest: DataFrame, stations: DataFrame, entry: Column, k: int, by: list[str]) -> tuple[DataFrame, int]:
+    """Boxes of some level with the stations they can need, from blocks; and that level, the finer the more stations there are in the fullest box."""
+    blocks = checkpoints.cut(_blocks(stations, entry, k, by))
+    counts = blocks.groupBy(*by, F.floor(F.col("y0") / SIZES[2]), F.floor(F.col("x0") / SIZES[2])).agg(F.sum(F.size("__s")).alias("n"))
+    most, last = counts.agg(F.max("n")).first()[0], 2
+    while most > TAKEN and last:
+        most, last = most / 16, last - 1
+    level, above = blocks.groupBy(*by).agg(F.collect_list(F.struct("__id", *BOUNDS, "outer")).alias("__bl")), None
+    for i in range(4, last - 1, -1):
+        box = _under(finest, level, i, above, by)
+        kept = _reached(F.col("__bl"), F.flatten(F.transform("__bl", lambda b: b["outer"])), k, _to_block)
+        level, above = box.select(*by, *_keys(i), *(BOUNDS if i == last else ()), kept.alias("__bl")), i
+    keys = [*by, *_keys(last)]
+    pairs = level.select(*keys, *BOUNDS, F.explode(F.col("__bl")["__id"]).alias("__id"))
+    lists = pairs.join(blocks.select(*by, "__id", "__s"), [*by, "__id"]).groupBy(*keys, *BOUNDS).agg(F.flatten(F.collect_list("__s")).alias("__st"))
+    return lists.select(*keys, _reached(F.col("__st"), F.col("__st"), k, _to_station).alias("__st")), last
 
 
 def nearest_by_rank(targets: DataFrame, stations: DataFrame, k: int, key: str, payload: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import checkpoints
 from ..functions.geo import EARTH_KM, TINY, aniso_km, degree_weight, geo_km, humidity_weight, power_weight
 from .cleaning import first_wins, usable
-from .neighbours import BLOCKS, MAX_STATIONS, SLACK, nearest_stations
+from .neighbours import MAX_STATIONS, SIZES, SLACK, nearest_stations
 
 STATION_COLUMNS = ("code", "lon", "lat", "altitude", "rh", "vis", "vis_rh", "vis_dis", "is_vis_est")
 
@@ -114,7 +114,7 @@ def weighted_mean(lat: np.ndarray, lon: np.ndarray, height: np.ndarray, stations
     out = np.full(len(lat), np.nan)
     if not len(stations) or not len(lat):
         return out
-    size = BLOCKS[-1]
+    size = SIZES[1]
     _, block = np.unique(np.floor(lat / size) * 1e6 + np.floor(lon / size), return_inverse=True)
     order = np.argsort(block, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
