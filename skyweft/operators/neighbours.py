@@ -44,27 +44,30 @@ def _corners() -> list[tuple[Column, Column]]:
     return [(F.col(y), F.col(x)) for y in ("y0", "y1") for x in ("x0", "x1")]
 
 
-def _reached(items: Column, pivots: Column, k: int, distance) -> Column:
-    """Of items those that the row's box (y0, y1, x0, x1) can need for k neighbours: distance(item, lat, lon) of some corner is no more than that of the
-    farthest of k pivots (lat, lon)."""
+def _reached(items: Column, pivots: Column, k: int, lat_of, lon_of) -> Column:
+    """Of items those that the row's box (y0, y1, x0, x1) can need for k neighbours: some corner is no farther from them than from the farthest of k pivots
+    (lat, lon). lat_of, lon_of: the item's place that is nearest to a lat or lon."""
     lat, lon = (F.col("y0") + F.col("y1")) / 2, (F.col("x0") + F.col("x1")) / 2
     near = F.slice(F.sort_array(F.transform(pivots, lambda p: F.struct(degrees_apart(lat, lon, p["lat"], p["lon"]).alias("d"), p["lat"].alias("lat"), p["lon"].alias("lon")))), 1, k)
     farthest = lambda ps, y, x: F.array_max(F.transform(ps, lambda p: degrees_apart(y, x, p["lat"], p["lon"]))) + SLACK
     reach = _bound(near, lambda ps: F.struct(*(farthest(ps, y, x).alias(f"d{i}") for i, (y, x) in enumerate(_corners()))))
 
-    def kept(r: Column, item: Column) -> Column:
-        a, b, c, d = (distance(item, y, x) <= r[f"d{i}"] for i, (y, x) in enumerate(_corners()))
-        return a | b | c | d
+    def around(r: Column) -> Column:
+        most = F.greatest(*(r[f"d{i}"] for i in range(4))) + SLACK
+        sides = ((F.col("y0") - most).alias("y0"), (F.col("y1") + most).alias("y1"), (F.col("x0") - most).alias("x0"), (F.col("x1") + most).alias("x1"))
+        return F.struct(r.alias("r"), *sides)
 
-    return F.when(F.size(pivots) < k, items).otherwise(_bound(reach, lambda r: F.filter(items, lambda item: kept(r, item))))
+    def kept(a: Column, item: Column) -> Column:
+        # the rectangle around all four circles is the cheaper test
+        inside = (lat_of(item, a["y0"]) >= a["y0"]) & (lat_of(item, a["y1"]) <= a["y1"]) & (lon_of(item, a["x0"]) >= a["x0"]) & (lon_of(item, a["x1"]) <= a["x1"])
+        n0, n1, n2, n3 = (degrees_apart(lat_of(item, y), lon_of(item, x), y, x) <= a["r"][f"d{i}"] for i, (y, x) in enumerate(_corners()))
+        return inside & (n0 | n1 | n2 | n3)
 
+    return F.when(F.size(pivots) < k, items).otherwise(_bound(_bound(reach, around), lambda a: F.filter(items, lambda item: kept(a, item))))
 
-def _to_station(s: Column, lat: Column, lon: Column) -> Column:
-    return degrees_apart(lat, lon, s["lat"], s["lon"])
 
-
-def _to_block(b: Column, lat: Column, lon: Column) -> Column:
-    return degrees_apart(F.greatest(F.least(lat, b["y1"]), b["y0"]), F.greatest(F.least(lon, b["x1"]), b["x0"]), lat, lon)
+STATION = (lambda s, lat: s["lat"], lambda s, lon: s["lon"])
+WITHIN = (lambda b, lat: F.greatest(F.least(lat, b["y1"]), b["y0"]), lambda b, lon: F.greatest(F.least(lon, b["x1"]), b["x0"]))
 
 
 def _keys(level: int) -> list[str]:
@@ -97,7 +100,7 @@ def nearest_stations(targets: DataFrame, stations: DataFrame, k: int, payload: S
         level, above, finer = stations.groupBy(*by).agg(F.collect_list(entry).alias("__st")), None, (3, 1)
     for i in finer:
         box = _under(finest, level, i, above, by)
-        level, above = box.select(*by, *_keys(i), _reached(F.col("__st"), F.col("__st"), k, _to_station).alias("__st")), i
+        level, above = box.select(*by, *_keys(i), _reached(F.col("__st"), F.col("__st"), k, *STATION).alias("__st")), i
     found = _boxed(placed, above, 0).join(level, by + _keys(above))
     return found.select(*targets.columns, ranked(F.col("__st"), F.col("lat"), F.col("lon"), k).alias("near"))
 
@@ -141,12 +144,12 @@ def _taken(finest: DataFrame, stations: DataFrame, entry: Column, k: int, by: li
     level, above = blocks.groupBy(*by).agg(F.collect_list(F.struct("__id", *BOUNDS, "outer")).alias("__bl")), None
     for i in range(4, last - 1, -1):
         box = _under(finest, level, i, above, by)
-        kept = _reached(F.col("__bl"), F.flatten(F.transform("__bl", lambda b: b["outer"])), k, _to_block)
+        kept = _reached(F.col("__bl"), F.flatten(F.transform("__bl", lambda b: b["outer"])), k, *WITHIN)
         level, above = box.select(*by, *_keys(i), *(BOUNDS if i == last else ()), kept.alias("__bl")), i
     keys = [*by, *_keys(last)]
     pairs = level.select(*keys, *BOUNDS, F.explode(F.col("__bl")["__id"]).alias("__id"))
     lists = pairs.join(blocks.select(*by, "__id", "__s"), [*by, "__id"]).groupBy(*keys, *BOUNDS).agg(F.flatten(F.collect_list("__s")).alias("__st"))
-    return lists.select(*keys, _reached(F.col("__st"), F.col("__st"), k, _to_station).alias("__st")), last
+    return lists.select(*keys, _reached(F.col("__st"), F.col("__st"), k, *STATION).alias("__st")), last
 
 
 def nearest_by_rank(targets: DataFrame, stations: DataFrame, k: int, key: str, payload: Sequence[str]) -> DataFrame:
