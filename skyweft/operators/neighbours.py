@@ -8,24 +8,32 @@ ranks only its own box's. Boxes are few beside targets; the only shuffle of the
 Up to `LISTED` stations of a time slot are one array at the top. More are dealt into blocks of some hundred, finer where stations are dense. Coarse boxes
 keep blocks, by the blocks' bounds and with the outermost stations of blocks as pivots, then take their stations, and finer boxes keep stations. Of stations
 at one place only the k that ties prefer can be anyone's neighbours; the others are left out first.
+
+`nearest_in_batches` ends the same search in NumPy: a box's targets, `PART` at a time, meet the stations of the blocks it keeps in one Arrow batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from .. import checkpoints
 from ..functions.geo import degrees_apart
+from ..functions.nearest import SLACK, nearest_rows
 
 SIZES = (0.05, 0.2, 0.8, 3.2, 12.8)
 LISTED = 5_000
 BLOCK = 128
 TAKEN = 50_000
+PART = 50_000
 MAX_STATIONS = 200_000
-SLACK = 1e-9
 BOUNDS = ("y0", "y1", "x0", "x1")
 
 
@@ -83,16 +91,22 @@ def _bounds(lat: str, lon: str) -> list[Column]:
     return [f(c).alias(n) for n, f, c in zip(BOUNDS, (F.min, F.max) * 2, (lat, lat, lon, lon))]
 
 
-def nearest_stations(targets: DataFrame, stations: DataFrame, k: int, payload: Sequence[str], by: Sequence[str] = (), max_stations: int = LISTED) -> DataFrame:
+def _entry(payload: Sequence[str]) -> Column:
+    return F.struct("lat", "lon", "seq", *(c for c in payload if c not in ("lat", "lon", "seq")))
+
+
+def _placed(targets: DataFrame) -> DataFrame:
+    return targets.na.drop(subset=["lat", "lon"]).withColumns({c: F.floor(F.col(x) / SIZES[0]) for c, x in zip(_keys(0), ("lat", "lon"))})
+
+
+def nearest_stations(targets: DataFrame, stations: DataFrame, k: int, payload: Sequence[str], by: Sequence[str] = (), max_stations: int | None = LISTED) -> DataFrame:
     """targets (lat, lon, ...) with a column `near`: an array of struct(d, seq, s) of up to k stations, nearest first, ties by seq. s has lat,
     lon, seq and the payload columns. by: columns, such as a time slot, that both sides must share. Targets without a place or, by group, without
-    stations have no row. More than max_stations in a group are searched by blocks."""
-    by = list(by)
-    entry = F.struct("lat", "lon", "seq", *(c for c in payload if c not in ("lat", "lon", "seq")))
-    stations = stations.na.drop(subset=["lat", "lon"])
-    placed = targets.na.drop(subset=["lat", "lon"]).withColumns({c: F.floor(F.col(x) / SIZES[0]) for c, x in zip(_keys(0), ("lat", "lon"))})
+    stations have no row. More than max_stations in a group are searched by blocks (None: there are few)."""
+    by, entry = list(by), _entry(payload)
+    stations, placed = stations.na.drop(subset=["lat", "lon"]), _placed(targets)
     finest = placed.groupBy(*by, *_keys(0)).agg(*_bounds("lat", "lon"))
-    if _most(stations, by, max_stations) > max_stations:
+    if max_stations is not None and _most(stations, by, max_stations) > max_stations:
         finest = checkpoints.cut(finest)
         level, above = _taken(finest, stations, entry, k, by)
         finer = range(above - 1, -1, -1)
@@ -105,6 +119,63 @@ def nearest_stations(targets: DataFrame, stations: DataFrame, k: int, payload: S
     return found.select(*targets.columns, ranked(F.col("__st"), F.col("lat"), F.col("lon"), k).alias("near"))
 
 
+def many(stations: DataFrame, by: Sequence[str] = ()) -> bool:
+    """Whether a group has more stations than one array takes."""
+    return _most(stations.na.drop(subset=["lat", "lon"]), list(by), LISTED) > LISTED
+
+
+Finish = Callable[[pa.Table, np.ndarray, np.ndarray, pa.StructArray], pa.Array]
+
+
+def nearest_in_batches(targets: DataFrame, stations: DataFrame, k: int, payload: Sequence[str], by: Sequence[str], made: StructField, finish: Finish) -> DataFrame:
+    """targets with the column `made`, which finish makes of targets, of the places of their up to k nearest stations (a row a target, nearest first, ties
+    by seq), of the distances, and of the stations that the places are of. The rows are those of nearest_stations()."""
+    by, entry, columns = list(by), _entry(payload), targets.columns
+    blocks = checkpoints.cut(_blocks(stations.na.drop(subset=["lat", "lon"]), entry, k, by))
+    last = _last(blocks, by)
+    keys = [*by, *_keys(last)]
+    placed = _boxed(_placed(targets), last, 0).withColumn("__part", F.lit(0))
+    boxes = checkpoints.cut(placed.groupBy(*keys).agg(*_bounds("lat", "lon"), F.count(F.lit(1)).alias("__n")))
+    pairs = _pairs(boxes, last, blocks, last, k, by)[0].select(*keys, "__id").withColumn("__part", F.lit(0))
+    if (boxes.agg(F.max("__n")).first()[0] or 0) > PART:
+        parts = boxes.select(*keys, F.ceil(F.col("__n") / PART).cast("int").alias("__parts"))
+        hashed = F.xxhash64(*(F.to_json(c) if "map<" in t else F.col(c) for c, t in targets.dtypes))
+        placed = placed.join(parts, keys).withColumn("__part", F.pmod(hashed, F.col("__parts")).cast("int"))
+        pairs = pairs.join(parts, keys).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    met = [*keys, "__part"]
+    near = pairs.join(blocks.select(*by, "__id", "__s"), [*by, "__id"]).select(*met, "__s")
+    kind = to_arrow_type(made.dataType)
+
+    def run(own: pa.Table, blocks: pa.Table) -> pa.Table:
+        own = own.select(columns)
+        if not own.num_rows or not blocks.num_rows:
+            return own.slice(0, 0).append_column(made.name, pa.nulls(0, kind))
+        s = pa.concat_arrays(c.flatten() for c in blocks.column("__s").chunks)
+        s = s.take(pc.array_sort_indices(pc.struct_field(s, "seq"), null_placement="at_start"))
+        mine = (pc.cast(own.column(c), pa.float64()).to_numpy() for c in ("lat", "lon"))
+        places = (pc.cast(pc.struct_field(s, c), pa.float64()).to_numpy(zero_copy_only=False) for c in ("lat", "lon"))
+        return own.append_column(made.name, finish(own, *nearest_rows(*mine, *places, k), s).cast(kind))
+
+    # boxes are few and each is much work: Spark would join partitions by their bytes
+    n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = [x.repartition(n, *met).groupBy(*met) for x in (placed, near)]
+    return sides[0].cogroup(sides[1]).applyInArrow(run, StructType([*targets.schema.fields, made]))
+
+
+def nearest_of_any(targets: DataFrame, stations: DataFrame, k: int, payload: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """nearest_stations() by arrays where stations are few, else in batches."""
+    if not many(stations, by):
+        return nearest_stations(targets, stations, k, payload, by, None)
+
+    def near(own: pa.Table, chosen: np.ndarray, d: np.ndarray, s: pa.StructArray) -> pa.Array:
+        s = s.take(pa.array(chosen.ravel()))
+        each = pa.StructArray.from_arrays([pa.array(d.ravel()), pc.struct_field(s, "seq"), s], ["d", "seq", "s"])
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(d) + 1) * d.shape[1], pa.int32()), each)
+
+    made = stations.select(F.array(F.struct(F.lit(0.0).alias("d"), "seq", _entry(payload).alias("s"))).alias("near")).schema["near"]
+    return nearest_in_batches(targets, stations, k, payload, by, made, near)
+
+
 def _most(stations: DataFrame, by: list[str], limit: int) -> int:
     """The number of stations of the largest group, if that is over limit; else limit at most."""
     if not by:
@@ -112,9 +183,9 @@ def _most(stations: DataFrame, by: list[str], limit: int) -> int:
     return stations.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
 
 
-def _under(finest: DataFrame, above: DataFrame, level: int, parent: int | None, by: list[str]) -> DataFrame:
-    """The boxes of a level with their bounds and what their boxes of the level above keep (parent None: what there is)."""
-    box = _boxed(finest, level, 0).groupBy(*by, *_keys(level)).agg(*(f(c).alias(c) for f, c in zip((F.min, F.max) * 2, BOUNDS)))
+def _under(finest: DataFrame, above: DataFrame, level: int, parent: int | None, by: list[str], of: int = 0) -> DataFrame:
+    """The boxes of a level with their bounds and what their boxes of the level above keep (parent None: what there is). of: the level of finest."""
+    box = _boxed(finest, level, of).groupBy(*by, *_keys(level)).agg(*(f(c).alias(c) for f, c in zip((F.min, F.max) * 2, BOUNDS)))
     if parent is None:
         return box.join(above, by) if by else box.crossJoin(F.broadcast(above))
     return _boxed(box, parent, level).join(above, by + _keys(parent))
@@ -134,22 +205,33 @@ def _blocks(stations: DataFrame, entry: Column, k: int, by: list[str]) -> DataFr
     return cut.groupBy(*by, key.alias("__id")).agg(*_bounds("lat", "lon"), outer.alias("outer"), F.collect_list("s").alias("__s"))
 
 
-def _taken(finest: DataFrame, stations: DataFrame, entry: Column, k: int, by: list[str]) -> tuple[DataFrame, int]:
-    """Boxes of some level with the stations they can need, from blocks; and that level, the finer the more stations there are in the fullest box."""
-    blocks = checkpoints.cut(_blocks(stations, entry, k, by))
+def _last(blocks: DataFrame, by: list[str]) -> int:
+    """The level of boxes that take their stations from blocks, the finer the more stations there are in the fullest box."""
     counts = blocks.groupBy(*by, F.floor(F.col("y0") / SIZES[2]), F.floor(F.col("x0") / SIZES[2])).agg(F.sum(F.size("__s")).alias("n"))
-    most, last = counts.agg(F.max("n")).first()[0], 2
+    most, last = counts.agg(F.max("n")).first()[0] or 0, 2
     while most > TAKEN and last:
         most, last = most / 16, last - 1
+    return last
+
+
+def _pairs(finest: DataFrame, of: int, blocks: DataFrame, last: int, k: int, by: list[str]) -> tuple[DataFrame, list[str]]:
+    """Boxes of level last with the ids of the blocks that they can need, a row each; and the columns of the boxes."""
     level, above = blocks.groupBy(*by).agg(F.collect_list(F.struct("__id", *BOUNDS, "outer")).alias("__bl")), None
     for i in range(4, last - 1, -1):
-        box = _under(finest, level, i, above, by)
+        box = _under(finest, level, i, above, by, of)
         kept = _reached(F.col("__bl"), F.flatten(F.transform("__bl", lambda b: b["outer"])), k, *WITHIN)
         level, above = box.select(*by, *_keys(i), *(BOUNDS if i == last else ()), kept.alias("__bl")), i
-    keys = [*by, *_keys(last)]
-    pairs = level.select(*keys, *BOUNDS, F.explode(F.col("__bl")["__id"]).alias("__id"))
-    lists = pairs.join(blocks.select(*by, "__id", "__s"), [*by, "__id"]).groupBy(*keys, *BOUNDS).agg(F.flatten(F.collect_list("__s")).alias("__st"))
-    return lists.select(*keys, _reached(F.col("__st"), F.col("__st"), k, *STATION).alias("__st")), last
+    box = [*by, *_keys(last), *BOUNDS]
+    return level.select(*box, F.explode(F.col("__bl")["__id"]).alias("__id")), box
+
+
+def _taken(finest: DataFrame, stations: DataFrame, entry: Column, k: int, by: list[str]) -> tuple[DataFrame, int]:
+    """Boxes of some level with the stations they can need, from blocks; and that level."""
+    blocks = checkpoints.cut(_blocks(stations, entry, k, by))
+    last = _last(blocks, by)
+    pairs, box = _pairs(finest, 0, blocks, last, k, by)
+    lists = pairs.join(blocks.select(*by, "__id", "__s"), [*by, "__id"]).groupBy(*box).agg(F.flatten(F.collect_list("__s")).alias("__st"))
+    return lists.select(*by, *_keys(last), _reached(F.col("__st"), F.col("__st"), k, *STATION).alias("__st")), last
 
 
 def nearest_by_rank(targets: DataFrame, stations: DataFrame, k: int, key: str, payload: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import checkpoints
 from ..functions.geo import EARTH_KM, TINY, aniso_km, degree_weight, geo_km, humidity_weight, power_weight
 from .cleaning import first_wins, usable
-from .neighbours import MAX_STATIONS, SIZES, SLACK, nearest_stations
+from .neighbours import MAX_STATIONS, SIZES, SLACK, nearest_of_any, nearest_stations
 
 STATION_COLUMNS = ("code", "lon", "lat", "altitude", "rh", "vis", "vis_rh", "vis_dis", "is_vis_est")
 
@@ -31,7 +31,7 @@ def _weighted(near: Column, weight, keep=lambda x: F.lit(True)) -> Column:
 def estimates(targets: DataFrame, reference: DataFrame, k: int = 4, by: Sequence[str] = (), legacy: bool = False) -> DataFrame:
     """targets with vis, vis_rh and vis_dis from the k nearest reference stations: means weighted by humidity and by distance, and half of each, or
     the one there is. legacy: neighbours without humidity or visibility are chosen first and then left out, instead of never chosen."""
-    found = nearest_stations(targets, reference, k, ("vis", "rh"), by)
+    found = nearest_of_any(targets, reference, k, ("vis", "rh"), by)
     has_vis = lambda x: x["s"]["vis"].isNotNull()
     has_both = (lambda x: x["s"]["vis"].isNotNull() & x["s"]["rh"].isNotNull()) if legacy else has_vis
     humid = _weighted(F.col("near"), lambda x: humidity_weight(F.col("rh"), x["s"]["rh"]), has_both)
