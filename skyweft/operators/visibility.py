@@ -6,13 +6,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField
 
 from .. import checkpoints
 from ..functions.geo import EARTH_KM, TINY, aniso_km, degree_weight, geo_km, humidity_weight, power_weight
+from ..functions.nearest import SLACK
 from .cleaning import first_wins, usable
-from .neighbours import MAX_STATIONS, SIZES, SLACK, nearest_of_any, nearest_stations
+from .neighbours import MAX_STATIONS, SIZES, many, nearest_in_batches, nearest_of_any, nearest_stations
 
 STATION_COLUMNS = ("code", "lon", "lat", "altitude", "rh", "vis", "vis_rh", "vis_dis", "is_vis_est")
 
@@ -69,11 +72,14 @@ def interpolate(cells: DataFrame, stations: DataFrame, beta: float = 10.0, power
     """cells (lat, lon, elevation, ...) with a column v: visibility by anisotropic inverse-distance weights.
 
     The 2 * n_neighbors stations nearest in degrees are the candidates. selection: "all_candidates" weights them all, "top_n" the n_neighbors best by
-    anisotropic distance. Candidates at distance zero are left out; cells without elevation, or without a candidate, have v NULL."""
+    anisotropic distance. Candidates at distance zero are left out; cells without elevation, or without a candidate, have v NULL. Many stations are
+    searched and weighted in batches, few by expressions."""
     if selection not in ("all_candidates", "top_n"):
         raise ValueError(f"unknown selection: {selection}")
     valid = stations.na.drop(subset=["lon", "lat", "vis", "altitude"])
-    found = nearest_stations(cells, valid, 2 * n_neighbors, ("vis", "altitude"), by)
+    if selection == "all_candidates" and many(valid, by):
+        return _interpolated(cells, valid, beta, power, n_neighbors, selection, by)
+    found = nearest_stations(cells, valid, 2 * n_neighbors, ("vis", "altitude"), by, None)
 
     def distance(x: Column) -> Column:
         s = x["s"]
@@ -87,6 +93,18 @@ def interpolate(cells: DataFrame, stations: DataFrame, beta: float = 10.0, power
     return found.withColumn("v", value).drop("near")
 
 
+def _interpolated(cells: DataFrame, stations: DataFrame, beta: float, power: float, n_neighbors: int, selection: str, by: Sequence[str]) -> DataFrame:
+    keep = n_neighbors if selection == "top_n" else None
+
+    def value(own: pa.Table, chosen: np.ndarray, d: np.ndarray, s: pa.StructArray) -> pa.Array:
+        lat, lon, height = (pc.cast(own.column(c), pa.float64()).to_numpy() for c in ("lat", "lon", "elevation"))
+        table = np.stack([pc.cast(pc.struct_field(s, c), pa.float64()).to_numpy(zero_copy_only=False) for c in ("lat", "lon", "altitude", "vis")], axis=1)
+        v = chosen_mean(lat, lon, height, table, chosen, beta, power, keep)
+        return pa.array(v, mask=np.isnan(v))
+
+    return nearest_in_batches(cells, stations, 2 * n_neighbors, ("vis", "altitude"), by, StructField("v", DoubleType()), value)
+
+
 def interpolate_arrow(cells: DataFrame, stations: DataFrame, beta: float = 10.0, power: float = 2.0, n_neighbors: int = 6, selection: str = "all_candidates", max_stations: int = MAX_STATIONS) -> DataFrame:
     """interpolate() with its arithmetic in NumPy, for very large grids: cells pass through as Arrow batches and are never shuffled. The stations of one
     slot go to every task, so their number is checked; beyond max_stations this is interpolate()."""
@@ -126,27 +144,31 @@ def weighted_mean(lat: np.ndarray, lon: np.ndarray, height: np.ndarray, stations
             near = stations[far <= np.partition(far, k - 1)[k - 1] + 2 * np.hypot(y.max() - cy, x.max() - cx) + SLACK]
         for at in range(0, len(part), max(1, 2_000_000 // len(near))):
             rows = part[at : at + max(1, 2_000_000 // len(near))]
-            y, x, z = (a[rows, None] for a in (lat, lon, height))
-            dy, dx = y - near[:, 0], x - near[:, 1]
-            if len(near) > k:
-                chosen = np.argsort(np.sqrt(dy * dy + dx * dx), axis=1, kind="stable")[:, :k]
-                sy, sx, sz, sv = (near[:, i][chosen] for i in range(4))
-            else:
-                sy, sx, sz, sv = (np.broadcast_to(near[:, i], (len(rows), len(near))) for i in range(4))
-            east = EARTH_KM * np.radians(sx - x) * np.cos(np.radians((y + sy) / 2))
-            north = EARTH_KM * np.radians(sy - y)
-            up = beta * np.abs(z - sz) / 1000.0
-            d = np.sqrt(east * east + north * north + up * up)
-            used = d > 0  # False for cells without elevation too
-            if keep is not None and d.shape[1] > keep:
-                best = np.argsort(np.where(used, d, np.inf), axis=1, kind="stable")[:, :keep]
-                d, sv, used = (np.take_along_axis(a, best, axis=1) for a in (d, sv, used))
-            w = np.where(used, 1.0 / np.maximum(d, TINY) ** power, 0.0)
-            total = w.sum(axis=1)
-            out[rows] = np.divide((w * sv).sum(axis=1), total, out=np.full(len(rows), np.nan), where=total > 0)
+            dy, dx = lat[rows, None] - near[:, 0], lon[rows, None] - near[:, 1]
+            chosen = np.argsort(np.sqrt(dy * dy + dx * dx), axis=1, kind="stable")[:, :k]
+            out[rows] = chosen_mean(lat[rows], lon[rows], height[rows], near, chosen, beta, power, keep)
     return out
 
 
+def chosen_mean(lat: np.ndarray, lon: np.ndarray, height: np.ndarray, stations: np.ndarray, chosen: np.ndarray, beta: float, power: float, keep: int | None) -> np.ndarray:
+    """The values of cells from the stations chosen for each (places in the table, a row a cell); with keep from as many of them, the best."""
+    if keep is not None:
+        chosen = np.sort(chosen, axis=1)  # ties by seq
+    y, x, z = (a[:, None] for a in (lat, lon, height))
+    sy, sx, sz, sv = (stations[:, i][chosen] for i in range(4))
+    east = EARTH_KM * np.radians(sx - x) * np.cos(np.radians((y + sy) / 2))
+    north = EARTH_KM * np.radians(sy - y)
+    up = beta * np.abs(z - sz) / 1000.0
+    d = np.sqrt(east * east + north * north + up * up)
+    used = d > 0  # False for cells without elevation too
+    if keep is not None and d.shape[1] > keep:
+        best = np.argsort(np.where(used, d, np.inf), axis=1, kind="stable")[:, :keep]
+        d, sv, used = (np.take_along_axis(a, best, axis=1) for a in (d, sv, used))
+    w = np.where(used, 1.0 / np.maximum(d, TINY) ** power, 0.0)
+    total = w.sum(axis=1)
+    return np.divide((w * sv).sum(axis=1), total, out=np.full(len(lat), np.nan), where=total > 0)
+
+
 def visibility_grid(national: DataFrame, regional: DataFrame, cells: DataFrame, combined: bool, by: Sequence[str] = (), **options) -> DataFrame:
     """The whole chain: estimate the stations, interpolate them onto the grid. The station table is used more than once and small, so it is kept."""
     return interpolate(cells, checkpoints.cut(estimate(national, regional, combined, by)), by=by, **options)
