@@ -77,7 +77,7 @@ def interpolate(cells: DataFrame, stations: DataFrame, beta: float = 10.0, power
     if selection not in ("all_candidates", "top_n"):
         raise ValueError(f"unknown selection: {selection}")
     valid = stations.na.drop(subset=["lon", "lat", "vis", "altitude"])
-    if selection == "all_candidates" and many(valid, by):
+    if many(valid, by):
         return _interpolated(cells, valid, beta, power, n_neighbors, selection, by)
     found = nearest_stations(cells, valid, 2 * n_neighbors, ("vis", "altitude"), by, None)
 
