@@ -1,6 +1,8 @@
 """Token counts with overlap resynchronisation for huge documents.
 
-Texts of up to `chunk` code points are encoded whole, in Arrow batches. A longer text is cut at special strings (as the library does before
+Texts of up to `chunk` code points are counted in Arrow batches: such a text is split where white space begins, which the byte-level pattern always
+does too, and the library encodes each of a task's different words once. A text with a special string, or for another kind of tokenizer, is encoded
+as it is. A longer text is cut at special strings (as the library does before
 anything else) and its plain stretches into chunks, which are dealt out over the cluster. Each chunk is encoded with offsets, `overlap` code points into
 its right neighbour, and so are the neighbour's first ones. The two are spliced at a place where both have a pre-token boundary that is proven: the
 byte-level pre-tokenizer scans from left to right and looks at most LOOKAHEAD code points past a match, so a pre-token that ends that far before the
@@ -26,12 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import ids_and_text, materialize
-from .tokenizing import load_tokenizer
+from .tokenizing import load_tokenizer, release
 
 CHUNK, OVERLAP, WIDEN, LIMIT = 65_536, 256, 4, 1024
 #: Code points past the end of a match that the pre-token pattern may have looked at ('re, 've, 'll reach two further than the apostrophe).
 LOOKAHEAD = 3
 BATCH = 64
+#: Words whose counts a task keeps (in each of two generations), and the code points of the longest that it keeps.
+CACHED_WORDS, CACHED_LENGTH = 400_000, 64
+#: A word with the white space before it. No match of the byte-level pattern goes on from a word into white space, and none looks back.
+SPACED_WORDS = re.compile(r"\s*\S+|\s+")
+#: White space in Python but not in Unicode's (and the library's) property.
+SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
 
 def _specials(tokenizer) -> re.Pattern | None:
@@ -39,6 +47,38 @@ def _specials(tokenizer) -> re.Pattern | None:
     return re.compile("|".join(map(re.escape, found))) if found else None
 
 
+class WordCounts:
+    """Token counts of whole texts by a tokenizer: the sum of their words' counts where it can't join text over the beginning of white space."""
+
+    def __init__(self, path: str):
+        self.tokenizer = load_tokenizer(path)
+        self.special = _specials(self.tokenizer)
+        before = self.tokenizer.pre_tokenizer
+        self.by_words = self.tokenizer.normalizer is None and type(before).__name__ == "ByteLevel" and before.use_regex and not before.add_prefix_space
+        self.known: dict[str, int] = {}
+        self.before: dict[str, int] = {}
+
+    def _words(self, text: str) -> list[str]:
+        whole = not self.by_words or SEPARATORS.search(text) or (self.special and self.special.search(text))
+        return [text] if whole else SPACED_WORDS.findall(text)
+
+    def counts(self, texts: list[str]) -> list[int]:
+        split = [self._words(t) for t in texts]
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.before = {}, self.known
+        missing = set().union(*split).difference(self.known)
+        again = missing & self.before.keys()
+        self.known.update((w, self.before[w]) for w in again)
+        new = list(missing - again)
+        self.known.update(zip(new, (len(e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+        get = self.known.__getitem__
+        found = [sum(map(get, w)) for w in split]
+        for w in new:
+            if len(w) > CACHED_LENGTH:
+                del self.known[w]
+        return found
+
+
 def stretches(text: str, tokenizer) -> tuple[int, list[tuple[int, int]]]:
     """(number of special strings, the (start, end) of what lies between them)."""
     pattern, at, out, n = _specials(tokenizer), 0, [], 0
@@ -156,15 +196,17 @@ def _join(parts: DataFrame, chunk: int, overlap: int) -> DataFrame:
 
 
 def _whole(text: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens) of texts that are encoded at once."""
+    """(doc_id, n_bytes, n_tokens) of texts of up to a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = load_tokenizer(tokenizer)
+        words = WordCounts(tokenizer)  # a task's own, as idle workers would keep it
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 b = whole.slice(at, BATCH)
-                n = [len(e.ids) for e in library.encode_batch_fast(b.column(2).to_pylist(), add_special_tokens=False)]
+                n = words.counts(b.column(2).to_pylist())
                 yield pa.record_batch([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+        del words
+        release()
 
     kind = text.schema["doc_id"].dataType.simpleString()
     return text.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), "text").mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")

@@ -85,6 +85,32 @@ def test_chunked_counts_are_the_librarys(text, chunk, overlap):
     assert token_counts.count_by_chunks(text, library, chunk, overlap) == len(library.encode(text, add_special_tokens=False).ids)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="aeéß'sstre l  \t\n\x0b\x85\xa0\x1c\x1f1²½.,*<|Äς日😀\u1680\u180e\u2003\u200b\u2028\u202f\u3000\ufeff", max_size=40) | texts, max_size=4))
+def test_counts_by_words_are_the_librarys(many):
+    words = token_counts.WordCounts(BYTES)
+    want = [len(words.tokenizer.encode(t, add_special_tokens=False).ids) for t in many]
+    assert words.counts(many) == words.counts(many) == want
+
+
+def test_each_word_is_encoded_once(monkeypatch):
+    words, library, asked = token_counts.WordCounts(BYTES), load_tokenizer(BYTES), []
+
+    class Watched:
+        def encode_batch_fast(self, given, **more):
+            asked.extend(given)
+            return library.encode_batch_fast(given, **more)
+
+    words.tokenizer = Watched()
+    monkeypatch.setattr(token_counts, "CACHED_WORDS", 4)  # the next batch begins another generation
+    long = " " + "日本" * 100
+    many = ["The cat and the dog." * 50, "the cat\n and the dog" + long, "<|endoftext|> x"] * 3
+    for _ in range(3):
+        assert words.counts(many) == [len(library.encode(t, add_special_tokens=False).ids) for t in many]
+    assert Counter(asked)[" the"] == Counter(asked)["the"] == 1 and Counter(asked)[long] == 3  # too long to be kept
+    assert long not in words.known
+
+
 def test_token_counts(spark, docs):
     library = load_tokenizer(BYTES)
     found = token_counts.token_counts(docs, BYTES, limit=100, chunk=2000, overlap=16).collect()
