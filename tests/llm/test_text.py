@@ -384,6 +384,53 @@ def test_words_encode_as_the_whole(text):
     assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\t-\\r \\x85\\xa00-9²³¹¼½¾a-zªµºß-öø-ÿ]+")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("'strevlmd a1!\n"), st.characters(max_codepoint=255)), max_size=30))
+def test_units_are_the_patterns(text):
+    data = np.frombuffer(text.encode("latin-1").translate(packing.LOWER) + packing.TAIL, np.uint8)
+    first, inside = packing.unit_starts(data)
+    starts = np.flatnonzero(first).tolist()
+    found = [data[a:b][inside[a:b]].tobytes().decode("latin-1") for a, b in zip(starts, [*starts[1:], len(data)])]
+    assert found == UNITS.findall(text.lower())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(texts | st.text(max_size=20) | st.text(alphabet=st.characters(max_codepoint=255), max_size=40), max_size=6))
+def test_many_texts_encode_as_each(many):
+    words = packing.WordIds(WORDS)
+    want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in many]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(many)] == want
+
+
+def test_units_of_a_batch_go_to_the_model_once(monkeypatch):
+    words, asked = packing.WordIds(WORDS), []
+    library, model = words.tokenizer, words.tokenizer.model
+
+    class Watched:
+        def tokenize(self, unit):
+            asked.append(unit)
+            return model.tokenize(unit)
+
+    words.tokenizer, words.model = None, Watched()  # neither a text nor a unit is encoded in another way
+    monkeypatch.setattr(packing, "CACHED_UNITS", 3)  # the next batch begins another generation
+    for many in (["The cat's hat, the été.", "", " \n"], ["THE CAT'S", "dog"], []):
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(many)] == [library.encode(t, add_special_tokens=False).ids for t in many]
+    assert max(Counter(asked).values()) == 1 and len(asked) == 8
+
+
+def test_texts_are_encoded_some_at_a_time(spark, docs, monkeypatch):
+    def pieces():
+        return sorted(map(tuple, packing.pieces(docs, WORDS, 64).collect()), key=repr)
+
+    whole = pieces()
+    monkeypatch.setattr(packing, "TEXT_BYTES", 100)
+    assert pieces() == whole
+
+
 # rules
 
 
