@@ -8,7 +8,8 @@ the rows.
 
 Defined results: null text counts as empty and equals an empty text; of equal texts the row with the largest doc_id stays (null ids
 are smallest), of rows that also share the doc_id exactly one; a repeated row counts in group_size. An empty table gives an empty
-result. Only doc_id and text are read, so other columns can't clash; `survivors()` returns docs' own columns.
+result. Only doc_id and text are read, so other columns can't clash; `survivors()` returns docs' own columns, and picks its rows by a
+bit a row where they are read, so that texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ids_and_text, materialize, numbered
+from .shared import ids_and_text, marks, materialize, numbered, picked
 
 COUNTERS = 256
 MERGE_WAYS = 64
@@ -100,4 +101,4 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     rows, rid = numbered(docs)
     text = rows.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(rid).alias("rid"))
     kept = decided(_digests(text), counters).where(F.col("rid") == F.col("keep.rid"))
-    return rows.join(kept.select(F.col("rid").alias(rid)), rid, "left_semi").drop(rid)
+    return picked(rows, rid, marks(kept.select("rid"))).drop(rid)

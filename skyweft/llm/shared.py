@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: White space between words: space and \t to \r, nothing else.
 SPACE = r"[\x20\x09-\x0D]"
+#: Rows of a block of marks, in words of 64 bits, and the blocks that are broadcast at most (128 million rows, 22 MB).
+_BLOCK_BITS, _WORDS, MOST_BLOCKS = 10, 16, 1 << 17
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -82,6 +84,25 @@ def numbered(df: DataFrame) -> tuple[DataFrame, str]:
     return materialize(df.withColumn(name, F.monotonically_increasing_id()), "rows"), name
 
 
+def marks(numbers: DataFrame) -> DataFrame:
+    """One column of row numbers -> (block, words): a bit for each row of a block of 1024, as a written table. Only blocks with a number are there."""
+    at = F.col(numbers.columns[0])
+    word, bit = F.shiftright(at, 6).bitwiseAND(_WORDS - 1), F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(63).cast("int"))
+    words = [F.coalesce(F.bit_or(F.when(word == k, bit)), F.lit(0).cast("bigint")) for k in range(_WORDS)]
+    found = numbers.groupBy(F.shiftright(at, _BLOCK_BITS).alias("block")).agg(*(w.alias(f"w{k}") for k, w in enumerate(words)))
+    return materialize(found.select("block", F.array(*(f"w{k}" for k in range(_WORDS))).alias("words")), "marks")
+
+
+def picked(rows: DataFrame, number: str, marked: DataFrame, most: int = MOST_BLOCKS) -> DataFrame:
+    """The rows whose number is marked, with their columns as they are. The marks are broadcast, some 0.2 bytes a row, so rows are not shuffled to find
+    a few of them; beyond `most` blocks they are joined like any other table."""
+    there = marked if marked.count() > most else F.broadcast(marked)
+    at = rows[number]
+    word = F.get(marked["words"], F.shiftright(at, 6).bitwiseAND(_WORDS - 1).cast("int"))
+    bit = F.call_function("shiftright", word, at.bitwiseAND(63).cast("int")).bitwiseAND(1)
+    return rows.join(there, (F.shiftright(at, _BLOCK_BITS) == marked["block"]) & (bit == 1), "left_semi")
+
+
 def ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), null text as empty: whatever other columns docs has can't clash with an operator's own."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -18,6 +18,9 @@ on the texts:
    pass this last test.
 5. The survivors are verified on the texts. Components of all links; of each the row with the smallest id stays.
 
+Keys are counted first, so only members of shared buckets are dealt out with more than their number. Of the texts, only those of pairs to be verified
+are shuffled, and those of open buckets and the rows that stay are picked where they are read (shared: marks and picked).
+
 DISTANCE is far above what links have: at a similarity of 0.8 bits differ with chance 0.15 each, so that 25 or more of 64 do with chance 1e-6 (small
 sets spread a little more). No bucket is capped or sampled. Rows are told apart by a number of their own, so repeated rows and rows without an id are
 settled like any other; a row without an id stays only if no row of its component has one.
@@ -37,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialize, numbered, scratch
+from .shared import marks, materialize, numbered, picked, scratch
 from .simhash import TABLE, apart, coordinates, majority, may_be_within, shingle_hashes
 from .tokenizing import release
 
@@ -88,7 +91,9 @@ def signatures(rows: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """pairs (a, b), texts (v, text) -> (a, b, common, total): the shingles that both or any of the two have."""
+    """pairs (a, b), texts (v, text) -> (a, b, common, total): the shingles that both or any of the two have. Only the pairs' own texts are shuffled."""
+    pairs = materialize(pairs, "pairs")
+    texts = picked(texts, "v", marks(pairs.select(F.explode(F.array("a", "b")))))
     both = pairs.join(texts.select(F.col("v").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("v").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,10 +197,11 @@ def _open(members: DataFrame) -> DataFrame:
 
 def links(vertices: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT, distance: int = DISTANCE) -> DataFrame:
     """vertices (v, n, fp, keys, rows of the pivot table), texts (v, text) -> verified links (a, b) that connect all that is alike."""
-    dealt = vertices.select("v", "n", "fp", F.explode("keys").alias("key"))
+    dealt = vertices.select("v", F.explode("keys").alias("key"))
+    shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")  # few keys are, so nothing else is dealt out by all
+    dealt = materialize(dealt.join(shared, "key"), "shared").join(vertices.select("v", "n", "fp"), "v")
     chosen = [F.min(F.struct(F.xxhash64("v", F.lit(j)).alias("h"), "v", "n", "fp")).alias(f"p{j}") for j in range(LOCAL_PIVOTS)]
-    buckets = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *chosen).where("size > 1").drop("size")
-    members = materialize(dealt.join(buckets, "key"), "buckets")
+    members = materialize(dealt.join(dealt.groupBy("key").agg(*chosen), "key"), "buckets")
     pivots = members.select("v", "n", "fp", F.explode(F.array(*(F.struct(f"p{j}.v", f"p{j}.n", f"p{j}.fp") for j in range(LOCAL_PIVOTS)))).alias("p"))
     fits = _alike(F.least("n", "p.n"), F.greatest("n", "p.n"), percent) & (apart(F.col("fp"), F.col("p.fp")) <= distance) & (F.col("v") != F.col("p.v"))
     asked = pivots.where(fits).select(F.greatest("v", "p.v").alias("a"), F.least("v", "p.v").alias("b")).distinct()
@@ -205,9 +211,10 @@ def links(vertices: DataFrame, texts: DataFrame, width: int = WIDTH, percent: in
     # what is still apart
     named = members.select("key", "v").join(stars, F.col("v") == F.col("m"), "left").select("key", "v", F.coalesce("root", "v").alias("root"))
     rest = materialize(_open(materialize(named, "buckets")), "open")
-    asking = materialize(texts.join(rest.select("v").distinct(), "v"), "open-texts")
+    asked = marks(rest.select("v"))
+    asking = materialize(picked(texts, "v", asked), "open-texts")
     rare = rarest(asking, rarity(asking, width), width, percent)
-    facts = materialize(vertices.select("v", "n", "fp", "keys", *TABLE).join(rare, "v"), "rarest")
+    facts = materialize(picked(vertices, "v", asked).select("v", "n", "fp", "keys", *TABLE).join(rare, "v"), "rarest")
     rest = rest.join(facts, "v")
     x, y = rest.where("root <> top").alias("x"), rest.alias("y")
     cx, cy = {c: F.col(f"x.{c}") for c in rest.columns}, {c: F.col(f"y.{c}") for c in rest.columns}
@@ -229,12 +236,12 @@ def survivors(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_co
         signs = materialize(signatures(texts, width), "signatures")
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
         sets = materialize(signs.groupBy("digest").agg(first), "sets")
-        vertices = signs.join(sets.select(F.col("first.rid").alias("v")), F.col("rid") == F.col("v"))
-        vertices = materialize(vertices.select("v", "n", "fp", "keys", *coordinates(F.col("fp"))), "pivot-table")
+        vertices = picked(signs, "rid", marks(sets.select("first.rid")))
+        vertices = materialize(vertices.select(F.col("rid").alias("v"), "n", "fp", "keys", *coordinates(F.col("fp"))), "pivot-table")
         with scratch(docs.sparkSession):
             linked = materialize(links(vertices, texts.select(F.col("rid").alias("v"), "text"), width, percent), "links", keep=True)
         found = components(linked)
         roots = sets.select(F.col("first.rid").alias("m"), "first").join(found, F.col("m") == F.col("v"), "left").select("first", F.coalesce("root", "m").alias("root"))
         stay = roots.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias(rid))
         stay = materialize(stay, "stay", keep=True)
-    return rows.join(stay, rid, "left_semi").drop(rid)
+    return picked(rows, rid, marks(stay)).drop(rid)

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from skyweft.llm import components, exact_dedup, packing, quality_rules, queries, shards, simhash, simhash_similar, warc
+from skyweft.llm import components, exact_dedup, packing, quality_rules, queries, shards, shared, simhash, simhash_similar, warc
 from skyweft.llm.shared import fresh_path
 
 
@@ -170,6 +170,45 @@ def test_stages_keep_one_of_repeated_rows_and_judge_texts_not_ids(spark):
     assert all({r["__rid"] for r in f.collect()} == {"mine"} for f in (exact_dedup.survivors(clash), simhash.representatives(clash), simhash_similar.survivors(clash)))
 
 
+def shuffled(spark):
+    """Bytes that stages have written to shuffles so far."""
+    bus, jvm = spark.sparkContext._jsc.sc().listenerBus(), spark.sparkContext._jvm
+    bus.waitUntilEmpty(30_000)
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_stages_do_not_shuffle_all_texts(spark):
+    """Nothing is small enough to be broadcast of itself, as in large tables; a few near copies are verified, the other texts stay where they are."""
+    rng = random.Random(9)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(2000)) for _ in range(200)]
+    rows = [*enumerate(texts), *((200 + i, t) for i, t in enumerate(texts[:5])), *((300 + i, t + " end") for i, t in enumerate(texts[5:10]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    size, before = sum(len(t) for _, t in rows), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stage, most, want in ((exact_dedup, 0.05, {*range(5, 205), *range(300, 305)}), (simhash_similar, 0.4, {*range(200)})):
+            path = fresh_path(spark, "stage-input")
+            docs.write.parquet(path)
+            at = shuffled(spark)
+            assert {r.doc_id for r in stage.survivors(spark.read.parquet(path)).collect()} == want
+            assert shuffled(spark) - at < most * size
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("most", [shared.MOST_BLOCKS, 0])
+def test_picked_rows_are_the_marked_ones(spark, most):
+    """Numbers at the ends of words and blocks, in the upper partitions too; columns of the names that marks have."""
+    numbers = [p * 2**33 + i for p in (0, 1, 700) for i in (0, 1, 31, 62, 63, 64, 127, 1023, 1024, 2047, 5000)]
+    wanted = numbers[::2] + [numbers[0], 3 * 2**33]
+    rows = spark.createDataFrame([(n, str(n), "own") for n in numbers], "rid bigint, block string, words string").repartition(3)
+    found = shared.picked(rows, "rid", shared.marks(spark.createDataFrame([(n,) for n in wanted], "n bigint")), most)
+    assert found.columns == rows.columns
+    assert sorted(map(tuple, found.collect())) == [(n, str(n), "own") for n in sorted(numbers[::2])]
+    assert shared.picked(rows, "rid", shared.marks(rows.limit(0).select("rid")), most).count() == 0
+
+
 def test_only_frequent_digests_are_broadcast(spark):
     """One text has a third of the rows and the others a few each: the winners are those with over rows / (counters + 1), the others are shuffled."""
     docs = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"t{i // 4}") for i in range(600)], "doc_id bigint, text string")
